@@ -60,15 +60,17 @@ SPELLING = {
     "es": ("ñ", "ción", "ando ", "iendo ", "ó ", "ll", "ue", "í"),
 }
 
+# Words that no sentence ends with.
+OPEN_WORDS = frozenset("the a an of to and or by with that which che di da e è il lo la un una per con o der die das und oder ein eine von mit le les de des et ou un une el los las y que en".split())
+ENDS, CLOSERS, DANGLING = ".!?…。", "\"'»”’)]*_`", ",;:–—-"
+
 _citation, _code = re.compile(r"\[[^\[\]\n]*\]"), re.compile(r"`[^`\n]*`")
 _word = re.compile(r"[^\W_]+")
 _sentence = re.compile(r"(?<=[.!?。])\s+|\n+")
-_declines = re.compile("|".join(DECLINES.values()), re.I)
-_negation = re.compile(r"\b(?:not|no|none|nothing|never|cannot|can't|non|nessun\w*|nulla|niente|né|tace|altri|kein\w*|nicht|nirgends|pas|rien|aucun\w*|nulle|impossible|ningun\w*|nada|sorry|silent)\b", re.I)
+_declines = re.compile("|".join(DECLINES.values())).search
+_negation = re.compile(r"\b(?:not|no|none|nothing|never|cannot|can't|non|nessun\w*|nulla|niente|né|tace|altri|kein\w*|nicht|nirgends|pas|rien|aucun\w*|nulle|impossible|ningun\w*|nada|sorry|silent)\b")
 _bullet = re.compile(r"^\s*(?:[-*+•]|\d+[.)])\s+(.*)$")
 _setting = re.compile(r"^[`\"']?[\w.\-/]+[`\"']?\s*[:=]\s*\S+$")
-_closed = re.compile(r"(?:[.!?…。]|\.\.\.)[\"'»”’)\]*_`]*$")
-_dangling = re.compile(r"(?:[,;:–—-]|\b(?:the|a|an|of|to|and|or|by|with|that|che|di|da|e|è|il|lo|la|un|una|per|con|o|der|die|das|und|oder|ein|eine|von|mit|le|les|de|des|et|ou|un|une|el|los|las|y|que|en))\s*$", re.I)
 
 
 def _owners(lists: dict[str, str]) -> dict[str, list[tuple[str, float]]]:
@@ -110,11 +112,11 @@ def _plain_words(text: str) -> tuple[list[str], bool]:
     for token in _code.sub(" ", _citation.sub(" ", text)).replace("'", " ").replace("’", " ").split():
         t = token.strip(".,;:!?¿¡()[]{}\"«»“”*_>-–—…")
         if t.isalpha():
-            if t[1:] == t[1:].lower():
-                words.append(t.lower())
+            if t.islower() or t.istitle():
+                words.append(t)
         elif t.isdigit():
             numbers = True
-    return words, numbers
+    return " ".join(words).lower().split(), numbers
 
 
 def _languages(words: list[str]) -> tuple[str | None, str | None, str | None]:
@@ -131,7 +133,7 @@ def _sign(x: bool) -> int:
 def votes(question: str | None, answer: str | None) -> dict[str, list[int]]:
     """Votes of the labelling functions of each defect on one pair; null is empty text."""
     q, a = (question or "").strip(), (answer or "").strip()
-    words, asked = [w.lower() for w in _word.findall(a)], [w.lower() for w in _word.findall(q)]
+    words, asked = _word.findall(a.lower()), _word.findall(q.lower())
     bare = re.sub(r"[^\w/]+", "", a).strip("_/").lower()
     empty = [_sign(not words), _sign(not bare or bare in PLACEHOLDERS or "".join(words) in PLACEHOLDERS), _sign(len(words) <= 2 and len(a) <= 16)]
     if empty[0] > 0 or empty[1] > 0:
@@ -151,12 +153,12 @@ def votes(question: str | None, answer: str | None) -> dict[str, list[int]]:
 
     plain, numbers = _plain_words(a)
     text = _citation.sub(" ", a)
-    sentences = [x for x in _sentence.split(text.lstrip("> *_#-\n")) if len(_word.findall(x)) >= 2]
-    opens = bool(sentences) and bool(_declines.search(sentences[0]))
+    sentences = [x for x in _sentence.split(text.lower().lstrip("> *_#-\n")) if len(_word.findall(x)) >= 2]
+    opens = bool(sentences) and bool(_declines(sentences[0]))
     refusal = [
         _sign(opens),
-        _sign(opens and all(_declines.search(x) for x in sentences[1:])),
-        _sign(len(words) <= 45 and not numbers and bool(_negation.search(text))),
+        _sign(opens and all(_declines(x) for x in sentences[1:])),
+        _sign(len(words) <= 45 and not numbers and bool(_negation.search(text.lower()))),
     ]
 
     lines = a.split("\n")
@@ -165,15 +167,15 @@ def votes(question: str | None, answer: str | None) -> dict[str, list[int]]:
     item = _bullet.match(last)
     setting = bool(_setting.match(re.sub(r"\s*\[[^\[\]]*\]\.?$", "", item.group(1)) if item else last)) if item or len(lines) > 1 else False
     ended = last.rstrip("*_ ")
-    cited = bool(re.search(r"\[[^\[\]]*\]$", ended))
-    whole = fences % 2 == 0 and (last.startswith("```") or bool(_closed.search(ended)) or cited or (bool(item) and setting) or last.startswith("|"))
+    cited = ended.endswith("]") and ended.rfind("[") >= 0
+    whole = fences % 2 == 0 and (last.startswith("```") or (ended.rstrip(CLOSERS)[-1:] or "x") in ENDS or cited or (bool(item) and setting) or last.startswith("|"))
     inside = fences % 2 == 1
     truncated = [
         1 if inside else 0,
         1 if not inside and last.rfind("[") > last.rfind("]") else 0,
         1 if not inside and last.replace("```", "").count("`") % 2 else 0,
         _sign(not whole),
-        1 if not inside and not whole and _dangling.search(ended) else 0,
+        1 if not inside and not whole and (ended[-1:] in DANGLING or ended.rsplit(None, 1)[-1:] and ended.rsplit(None, 1)[-1].lower() in OPEN_WORDS) else 0,
     ]
 
     language = [0, 0, 0]
