@@ -27,6 +27,14 @@ def _c(x: Column | str) -> Column:
     return F.coalesce(F.col(x) if isinstance(x, str) else x, F.lit(""))
 
 
+def let(body: Callable[..., Column], **values: Column) -> Column:
+    """body(**values) with every value worked out once. A column that a lambda refers to from outside may be inlined
+    into it by the optimiser and then be worked out again for every element; a bound variable can't.
+    """
+    bound = F.transform(F.array(F.struct(*[c.alias(k) for k, c in values.items()])), lambda v: body(**{k: v[k] for k in values}))
+    return F.element_at(bound, 1)
+
+
 def stripped(x: Column | str) -> Column:
     """Without white space of any kind at both ends."""
     return F.regexp_replace(_c(x), rf"^{SPACE}+|{SPACE}+$", "")
@@ -95,7 +103,7 @@ def _singular(t: Column) -> Column:
 def missing_identifiers(found: Column, haystack: Column) -> Column:
     """Those of an array of identifiers that don't stand in normalised text, not even without trailing s; sorted."""
     pairs = F.arrays_zip(found.alias("t"), normalised_all(found).alias("n"))
-    absent = F.filter(pairs, lambda p: ~F.contains(haystack, p["n"]) & ~((_singular(p["n"]) != "") & F.contains(haystack, _singular(p["n"]))))
+    absent = let(lambda pairs, hay: F.filter(pairs, lambda p: ~F.contains(hay, p["n"]) & ~((_singular(p["n"]) != "") & F.contains(hay, _singular(p["n"])))), pairs=pairs, hay=haystack)
     return F.array_sort(F.transform(absent, lambda p: p["t"]))
 
 
@@ -106,13 +114,13 @@ def share(part: Column, whole: Column, empty: float) -> Column:
 
 def technical_share(tokens: Column, haystack: Column) -> Column:
     """Share of technical words that stand in normalised text, trailing s aside; 1 without any. A word of nothing but s counts as found."""
-    hit = F.filter(normalised_all(tokens), lambda n: F.contains(haystack, n) | F.contains(haystack, _singular(n)))
-    return share(F.size(hit), F.size(tokens), 1.0)
+    count = lambda n, hay: F.size(F.filter(n, lambda t: F.contains(hay, t) | F.contains(hay, _singular(t))))
+    return share(let(count, n=normalised_all(tokens), hay=haystack), F.size(tokens), 1.0)
 
 
 def lexical_share(answer: Column, context: Column) -> Column:
     """Share of an array of content words, repeats counted, that is among another's; 0 without any."""
-    return share(F.size(F.filter(answer, lambda t: F.array_contains(context, t))), F.size(answer), 0.0)
+    return let(lambda a, c: share(F.size(F.filter(a, lambda t: F.array_contains(c, t))), F.size(a), 0.0), a=answer, c=context)
 
 
 def citations(x: Column | str) -> Column:
@@ -144,19 +152,33 @@ def first_sentence(x: Column | str, least: int = 60, most: int = 400) -> Column:
 
 def jaccard(a: Column, b: Column) -> Column:
     """Likeness of two arrays as sets; 0 where one is empty."""
-    return F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).otherwise(F.lit(0.0))
+    return let(lambda a, b: F.when((F.size(a) > 0) & (F.size(b) > 0), F.size(F.array_intersect(a, b)) / F.size(F.array_union(a, b))).otherwise(F.lit(0.0)), a=a, b=b)
 
 
 def token_f1(a: Column, b: Column) -> Column:
     """F1 of two arrays of words, counting each word as often as both have it; 0 where one is empty."""
     count = lambda arr, t: F.size(arr) - F.size(F.array_remove(arr, t))
-    common = F.aggregate(F.array_intersect(a, b), F.lit(0), lambda acc, t: acc + F.least(count(a, t), count(b, t)))
-    return share(2.0 * common, F.size(a) + F.size(b), 0.0)
+    common = lambda a, b: F.aggregate(F.array_intersect(a, b), F.lit(0), lambda acc, t: acc + F.least(count(a, t), count(b, t)))
+    return let(lambda a, b: share(2.0 * common(a, b), F.size(a) + F.size(b), 0.0), a=a, b=b)
 
 
 def phrase_recall(normal: Column, phrases: Column) -> Column:
     """Share of an array of phrases that stands in normalised text; 1 without any."""
-    return share(F.size(F.filter(normalised_all(phrases), lambda p: F.contains(normal, p))), F.size(phrases), 1.0)
+    count = lambda p, n: F.size(F.filter(p, lambda x: F.contains(n, x)))
+    return share(let(count, p=normalised_all(phrases), n=normal), F.size(phrases), 1.0)
+
+
+def containing(phrases: Column, normal: Column) -> Column:
+    """Those of an array of phrases that stand in normalised text."""
+    pairs = F.arrays_zip(phrases.alias("t"), normalised_all(phrases).alias("n"))
+    return F.transform(let(lambda p, n: F.filter(p, lambda x: F.contains(n, x["n"])), p=pairs, n=normal), lambda x: x["t"])
+
+
+def among(items: Column, pool: Column, wanted: bool = True, part: str | None = None) -> Column:
+    """Those items of an array that are in another array (or, not wanted, aren't), by the item or a field of it."""
+    key = (lambda i: i[part]) if part else (lambda i: i)
+    inside = (lambda p, i: F.array_contains(p, key(i))) if wanted else (lambda p, i: ~F.array_contains(p, key(i)))
+    return let(lambda i, p: F.filter(i, lambda x: inside(p, x)), i=items, p=pool)
 
 
 def question_words(x: Column | str) -> Column:

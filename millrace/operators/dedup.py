@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as X
 from millrace.operators.components import connected_components
+from millrace.session import tasks, written
 
+#: Rows whose components are decided in one task, about.
+ROWS_PER_TASK = 20_000
 REASONS = ("empty_question", "duplicate_question", "near_duplicate", "same_subject", "context_limit")
 
 
@@ -81,7 +84,7 @@ def question_dedup(examples: DataFrame, cfg: DedupConfig = DedupConfig()) -> Dat
     over all rows is needed. Only fingerprints of questions and sources enter the graph.
     """
     words = X.question_words("question")
-    rows = examples.select(
+    rows = written(examples.select(
         "id",
         "ord",
         words.alias("tokens"),
@@ -89,7 +92,7 @@ def question_dedup(examples: DataFrame, cfg: DedupConfig = DedupConfig()) -> Dat
         signature().alias("signature"),
         F.array_sort(F.array_distinct(F.transform(X.technical_words("question"), F.lower))).alias("subject"),
         F.concat_ws("|", F.coalesce("category", F.lit("")), F.coalesce("answerable", F.lit(""))).alias("label"),
-    )
+    ), "question-rows")
     hashed = rows.withColumns({"s": F.xxhash64(F.lit("s"), "signature"), "q": F.xxhash64(F.lit("q"), "norm")})
     # most signatures share no question with another one: only questions under several signatures link components
     spans = hashed.where("norm <> ''").groupBy("q").agg(F.min("s").alias("low"), F.max("s").alias("high")).where("low <> high").select("q", "low")
@@ -97,11 +100,9 @@ def question_dedup(examples: DataFrame, cfg: DedupConfig = DedupConfig()) -> Dat
     label = connected_components(links).select(F.col("node").alias("s"), "component")
     grouped = hashed.join(label, "s", "left").withColumn("component", F.coalesce("component", "s"))
     schema = "id string, ord long, reason string, duplicate_of string, similarity double"
-    return grouped.drop("s", "q").groupBy("component").applyInPandas(_drop_key(_greedy(cfg.similarity, cfg.per_context)), schema)
-
-
-def _drop_key(run):
-    return lambda frame: run(frame.drop(columns="component"))
+    # many small components share a task: the decision keeps them apart by itself
+    tasks_ = max(tasks(examples.sparkSession), rows.count() // ROWS_PER_TASK)
+    return grouped.withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(tasks_))).drop("s", "q", "component").groupBy("bucket").applyInPandas(_greedy(cfg.similarity, cfg.per_context), schema)
 
 
 def drop_histogram(decided: DataFrame) -> DataFrame:

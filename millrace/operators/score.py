@@ -51,12 +51,12 @@ def score(rows: DataFrame, cfg: ScoreConfig = ScoreConfig()) -> DataFrame:
             "recall": X.phrase_recall(col("answer_norm"), col("key_facts")),
             "refused": X.declines(col("answer_norm")),
             "opening": X.normalised(X.first_sentence("answer")),
-            "fabricated": F.filter("cite_keys", lambda c: ~F.array_contains(col("context_sources"), c["source"])),
-            "misattributed": F.filter("cite_keys", lambda c: F.array_contains(col("context_sources"), c["source"]) & ~F.array_contains(col("context_keys"), c)),
-            "resolved": distinct(F.filter("cite_keys", lambda c: F.array_contains(col("context_keys"), c))),
+            "fabricated": X.among(col("cite_keys"), col("context_sources"), wanted=False, part="source"),
+            "misattributed": X.among(X.among(col("cite_keys"), col("context_sources"), part="source"), col("context_keys"), wanted=False),
+            "resolved": F.array_intersect("cite_keys", "context_keys"),
             "cited": distinct("cite_keys"),
             "words": X.word_count("answer"),
-            "forbidden": F.transform(F.filter(F.arrays_zip(col("must_not_include").alias("t"), X.normalised_all(col("must_not_include")).alias("n")), lambda p: F.contains(col("answer_norm"), p["n"])), lambda p: p["t"]),
+            "forbidden": X.containing(col("must_not_include"), col("answer_norm")),
         }
     )
     refused, none, full = col("refused"), col("label") == "none", col("label") == "full"

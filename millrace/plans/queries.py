@@ -214,7 +214,7 @@ def base_against_tuned(spark, d):
 @_query
 def prediction_join(spark, d):
     """Stored predictions matched with examples: the response's listed ids, the last response of an id counts."""
-    items = parsing.parse_responses(_responses(spark, d).where("response is not null")).select("request_id", F.explode("items").alias("i")).select(F.get_json_object(F.concat(F.lit("["), "i", F.lit("]")), "$[0]").alias("id"), F.col("request_id").cast("string").alias("prediction"), F.col("request_id").alias("ord"))
+    items = parsing.parse_responses(_responses(spark, d).where("response is not null")).select("request_id", F.explode_outer("items").alias("i")).where("i is not null").select(F.get_json_object(F.concat(F.lit("["), "i", F.lit("]")), "$[0]").alias("id"), F.col("request_id").cast("string").alias("prediction"), F.col("request_id").alias("ord"))
     return score.join_predictions(_examples(spark, d), items).select("id", "prediction")
 
 
@@ -386,7 +386,7 @@ def fenced_items(spark, d):
     body = F.to_json(F.struct(F.array(F.struct("question", "answer", F.upper("answerable").alias("answerability"), "category", F.col("relevant_sources").alias("required_sources"))).alias("examples")))
     u = uniform(5, "id")
     raw = F.when(u < 0.33, F.concat(F.lit("Here it is:\n```json\n"), body, F.lit("\n```\nDone."))).when(u < 0.66, F.concat(F.lit("Sure. "), F.get_json_object(body, "$.examples"), F.lit(" That is all."))).otherwise(body)
-    parsed = parsing.parse_responses(ex.select("id", "project", raw.alias("response"))).select(F.col("id").alias("origin_id"), "project", F.lit("mock").alias("teacher"), F.explode("items").alias("item"))
+    parsed = parsing.parse_responses(ex.select("id", "project", raw.alias("response"))).select(F.col("id").alias("origin_id"), "project", F.lit("mock").alias("teacher"), F.explode_outer("items").alias("item")).where("item is not null")
     return parsing.items_to_examples(parsed).select("origin_id", "id", "answerable", "category", "rejected", F.size("relevant_sources").alias("n_sources"))
 
 
