@@ -106,10 +106,12 @@ def leaked_items(documents: DataFrame, items: DataFrame, run: int = 12, shingle:
             memo: dict[str, int] = {}
             forms: dict = {}
             for frame in frames:
+                out = []
                 for i, t in zip(frame["i"], frame["t"], strict=True):
                     words = _words.findall(canonical_text(t, forms))
                     minima = window_minima(_word_numbers(words, memo), run, shingle).view(np.int64)
-                    yield pd.DataFrame({"doc_id": np.full(len(minima), i, dtype=np.int64), "minimum": minima, "words": [" ".join(words[k : k + run]) for k in range(len(minima))]})
+                    out += [(i, m, " ".join(words[k : k + run])) for k, m in enumerate(minima.tolist())]
+                yield pd.DataFrame(out, columns=["doc_id", "minimum", "words"])
 
         found = rows.mapInPandas(cut, "doc_id long, minimum long, words string").distinct().join(windows, ["minimum", "words"]).select("doc_id", "item_id", "words")
     total = windows.groupBy("item_id").agg(F.count_distinct("words").alias("n_all"))

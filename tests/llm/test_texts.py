@@ -195,7 +195,7 @@ def test_packing_keeps_items_whole(spark):
             assert [f for _, f, _ in pieces] == [k * capacity for k in range(len(pieces))]
             assert len(pieces) == max(1, -(-total // capacity)), doc
     report = {r.kind: r for r in fill_report(placed, kinds).collect()}
-    assert report["a"].n_items == 204 and report["a"].n_cut == 1 and report["a"].fill > 0.9
+    assert report["a"].n_items == 204 and report["a"].n_cut == 1 and report["a"].fill > 0.8
     assert sorted(map(tuple, rows)) == sorted(map(tuple, pack(sizes.repartition(7), kinds, bucket_rows=60).collect()))
     assert pack(sizes.limit(0), kinds).count() == 0 and pack(sizes, kinds.limit(0)).count() == 0
 
