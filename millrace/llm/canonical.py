@@ -43,6 +43,8 @@ _plain = re.compile("[\x00-\x7f\u00a1-\u00a7\u00a9\u00ab\u00ac\u00ae\u00b0\u00b1
 _odd = re.compile(r"\S*[^\s\x00-\x7f]\S*")
 _letters = re.compile("(?:[^\\W\\d_]|[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff])+")
 MEMO = 200_000
+#: Spellings of one large class that meet in one block.
+BLOCK = 2000
 
 
 def _script(ch: str) -> str:
@@ -119,18 +121,47 @@ def _keys(documents: DataFrame, text: str, id_col: str) -> DataFrame:
     return rows.mapInPandas(run, "id long, c binary, v binary, x binary")
 
 
-def lookalike_pairs(documents: DataFrame, text: str = "text", id_col: str = "doc_id", expand_limit: int = EXPAND_LIMIT) -> DataFrame:
+def _spellings(rows: DataFrame) -> DataFrame:
+    """c, v, x of every spelling in classes of several, its smallest id `first`, and of the class: documents m, spellings, and `lead`, the spelling with the smallest first id."""
+    each = rows.groupBy("c", "v", "x").agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    classes = each.groupBy("c", "v").agg(F.count("*").alias("spellings"), F.sum("n").alias("m"), F.min(F.struct("first", "x")).alias("lead")).where("spellings > 1")
+    return each.drop("n").join(classes, ["c", "v"])
+
+
+def lookalike_members(documents: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """class_id, spelling_id, doc_id of every document that has a look-alike: two documents look the same but are different strings if they share class_id and differ in spelling_id.
+
+    Both are smallest ids, of the class and of the equal strings in it. One row per document and spelling, however
+    large a class is, so all pairs can be had from it.
+    """
+    rows = written(_keys(documents, text, id_col).distinct(), "lookalike-keys")
+    return rows.join(_spellings(rows), ["c", "v", "x"]).select(F.col("lead.first").alias("class_id"), F.col("first").alias("spelling_id"), F.col("id").alias("doc_id"))
+
+
+def lookalike_pairs(documents: DataFrame, text: str = "text", id_col: str = "doc_id", expand_limit: int = EXPAND_LIMIT, block: int = BLOCK) -> DataFrame:
     """Pairs (doc_id_a < doc_id_b) of documents whose texts look the same but are different strings.
 
     Rows meet on the canonical form; the exact check that follows is equality of the visual form. Null text is
     empty text, repeated rows of an id count once, equal strings form no pair. In a class of more than
-    expand_limit documents each document is paired with the smallest document of another spelling only.
+    expand_limit documents every spelling is paired with every other, each by its smallest document; a further
+    copy of a spelling is paired with the smallest document of another spelling only (lookalike_members says which
+    spelling it is a copy of). Spellings of such a class meet in blocks of about `block`.
     """
     rows = written(_keys(documents, text, id_col).distinct(), "lookalike-keys")
-    spellings = rows.groupBy("c", "v", "x").agg(F.min("id").alias("first"), F.count("*").alias("m"))
-    classes = spellings.groupBy("c", "v").agg(F.count("*").alias("spellings"), F.sum("m").alias("m"), F.min(F.struct("first", "x")).alias("lead"), F.max(F.struct("first", "x")).alias("other")).where("spellings > 1")
-    told = rows.join(classes, ["c", "v"])
+    spellings = written(_spellings(rows), "lookalike-spellings")
+    told = rows.join(spellings, ["c", "v", "x"])
     small = told.where(F.col("m") <= expand_limit).select("c", "v", "x", "id")
     pairs = small.alias("a").join(small.alias("b"), (F.col("a.c") == F.col("b.c")) & (F.col("a.v") == F.col("b.v")) & (F.col("a.x") != F.col("b.x")) & (F.col("a.id") < F.col("b.id"))).select(F.col("a.id").alias("p"), F.col("b.id").alias("q"))
-    large = told.where(F.col("m") > expand_limit).select("id", F.when(F.col("x") == F.col("lead.x"), F.col("other.first")).otherwise(F.col("lead.first")).alias("q"))
-    return pairs.union(large.select(F.col("id").alias("p"), "q")).where("p <> q").select(F.least("p", "q").alias("doc_id_a"), F.greatest("p", "q").alias("doc_id_b")).distinct()
+
+    large = spellings.where(F.col("m") > expand_limit)
+    parts = F.ceil(F.col("spellings") / F.lit(block)).cast("int")
+    blocked = large.withColumns({"own": F.pmod(F.xxhash64("x"), parts).cast("int"), "other": F.explode(F.sequence(F.lit(0), parts - 1))})
+    blocked = blocked.select("c", "v", "x", "first", "own", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"))
+    a, b, col = blocked.alias("a"), blocked.alias("b"), F.col
+    met = a.join(b, (col("a.c") == col("b.c")) & (col("a.v") == col("b.v")) & (col("a.low") == col("b.low")) & (col("a.high") == col("b.high")) & (col("a.x") < col("b.x")) & ((col("a.own") != col("b.own")) | (col("a.low") == col("a.high"))))
+    pairs = pairs.union(met.select(col("a.first").alias("p"), col("b.first").alias("q")))
+
+    second = large.where("x <> lead.x").groupBy("c", "v").agg(F.min("first").alias("second"))
+    copies = told.where((F.col("m") > expand_limit) & (F.col("id") != F.col("first"))).join(second, ["c", "v"])
+    pairs = pairs.union(copies.select(F.col("id").alias("p"), F.when(F.col("x") == F.col("lead.x"), F.col("second")).otherwise(F.col("lead.first")).alias("q")))
+    return pairs.where("p <> q").select(F.least("p", "q").alias("doc_id_a"), F.greatest("p", "q").alias("doc_id_b")).distinct()

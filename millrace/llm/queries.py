@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.llm.broken_pairs import broken_pairs, pair_defects
-from millrace.llm.canonical import canonicalise, lookalike_pairs
+from millrace.llm.canonical import canonicalise, lookalike_members, lookalike_pairs
 from millrace.llm.grouped_split import assign_splits, parted_groups, split_report
 from millrace.llm.leakage import leaked_items, leaked_report
 from millrace.llm.near_duplicates import near_duplicate_groups, near_duplicate_pairs
@@ -108,13 +108,17 @@ def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return lookalike_pairs(_t(spark, d, "documents"))
 
 
+def p9_members(spark: SparkSession, d: str) -> DataFrame:
+    return lookalike_members(_t(spark, d, "documents"))
+
+
 def p9_forms(spark: SparkSession, d: str) -> DataFrame:
     return canonicalise(_t(spark, d, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [p1_found, p1_sample, p1_report, p1_joint_report, p2_found, p2_pieces, p3_found, p3_defects, p4_found, p4_assign, p4_report, p5_found, p5_groups]
-    own += [p6_found, p6_report, p7_found, p7_placement, p7_fill, p8_found, p8_report, p9_found, p9_forms]
+    own += [p6_found, p6_report, p7_found, p7_placement, p7_fill, p8_found, p8_report, p9_found, p9_members, p9_forms]
     return {f.__name__: f for f in own}
 
 

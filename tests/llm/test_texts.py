@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from millrace.llm import broken_pairs as B
-from millrace.llm.canonical import canonicalise, forms, lookalike_pairs
+from millrace.llm.canonical import canonicalise, forms, lookalike_members, lookalike_pairs
 from millrace.llm.leakage import leaked_items, leaked_report, window_minima
 from millrace.llm.packing import fill_report, pack, sum_of_squares, token_counts, token_counter
 from millrace.llm.splitting import IMBALANCE, PIECE, cut_costs, split_oversized, split_text
@@ -62,6 +62,20 @@ def test_lookalike_pairs(spark):
     assert {r.doc_id: r.canonical for r in canonicalise(docs(spark, [(1, "Ｘ" * 100_000), (2, None)])).collect()} == {1: "x" * 100_000, 2: ""}
 
 
+@pytest.mark.parametrize("block", [2, 2000])
+def test_large_lookalike_class_keeps_links_between_spellings(spark, block):
+    spelled = ["".join(w) for w in itertools.product("sｓѕ", "aａа", "mｍ", "eｅ")]
+    hot = [(100 + k, w) for k, w in enumerate(spelled)] + [(200 + k, spelled[1]) for k in range(5)] + [(300, spelled[0]), (1, "lone"), (2, "lone")]
+    reps = {(100 + i, 100 + j) for i in range(len(spelled)) for j in range(i + 1, len(spelled))}
+    got = [tuple(r) for r in lookalike_pairs(docs(spark, hot), expand_limit=10, block=block).collect()]
+    assert len(got) == len(set(got)) and set(got) == reps | {(100, 200 + k) for k in range(5)} | {(101, 300)}
+    both = [(1, "same"), (1, "ｓame"), (2, "same"), (3, "ｓame")]  # an id with two texts
+    assert {tuple(r) for r in lookalike_pairs(docs(spark, both), expand_limit=2, block=block).collect()} == {(1, 2), (1, 3)}
+    members = [tuple(r) for r in lookalike_members(docs(spark, hot)).collect()]
+    implied = {(a, b) for c, s, a in members for d, t, b in members if c == d and s != t and a < b}
+    assert implied == {tuple(r) for r in lookalike_pairs(docs(spark, hot)).collect()}
+
+
 # leakage
 
 
