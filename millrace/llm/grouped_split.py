@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import math
 from collections import defaultdict
 
@@ -14,10 +15,12 @@ from millrace.session import written
 
 # Fixed value: the ending of a variant's id.
 VARIANT = r"(?i)([-_](noise|var|aug)[0-9]+)+$"
-#: Components of at least 1/UNITS of all rows are placed one by one; smaller ones are first gathered, whole, into at most UNITS batches per label.
+#: Components of at least 1/UNITS of all rows are placed one by one; smaller ones are first gathered, whole, into batches per label.
 UNITS = 2_000
-#: Distinct labels that are balanced; rarer ones count together. A parameter of the report, not of the relation.
-MAX_LABELS = 64
+#: Batches per label at least, so that a rare label can be shared out however many labels there are.
+BATCHES = 32
+#: Columns whose values are balanced.
+LABEL = ("category", "answerable")
 
 
 def original_id(c: Column | str) -> Column:
@@ -65,8 +68,12 @@ def stratify(units: list[tuple[str, dict[str, int]]], shares: list[tuple[str, fl
         for label in labels:
             by_label[label].append(k)
     open_, out = dict(total), {}
-    while open_:
-        label = min(open_, key=lambda x: (open_[x], x))
+    queue = [(n, label) for label, n in total.items()]
+    heapq.heapify(queue)
+    while queue:
+        left, label = heapq.heappop(queue)
+        if open_.get(label) != left:  # placed since, or counted down and queued again
+            continue
         for k in sorted(by_label[label], key=lambda k: (-units[k][1][label], -sum(units[k][1].values()), units[k][0])):
             name, labels = units[k]
             if name in out:
@@ -79,18 +86,27 @@ def stratify(units: list[tuple[str, dict[str, int]]], shares: list[tuple[str, fl
                 want[to][other] -= n
                 if other in open_:
                     open_[other] -= n
+                    if other != label:
+                        heapq.heappush(queue, (open_[other], other))
         del open_[label]
     return out
 
 
-def assign_splits(examples: DataFrame, targets: DataFrame, label: tuple[str, ...] = ("category", "answerable"), units: int = UNITS) -> DataFrame:
+def labels_of(examples: DataFrame, label: tuple[str, ...] = LABEL) -> DataFrame:
+    """id, label of every distinct id: its spelling-free values of `label`, joined by '/'. Should an id's rows differ, the smallest is kept."""
+    value = F.concat_ws("/", *[label_key(c) for c in label])
+    return examples.where("id is not null").groupBy("id").agg(F.min(value).alias("label"))
+
+
+def assign_splits(examples: DataFrame, targets: DataFrame, label: tuple[str, ...] = LABEL, units: int = UNITS) -> DataFrame:
     """id, component, split of every distinct id, with shares as in targets (split, share) and no related group parted.
 
-    Label vectors (rows per value of `label`) are summed per component. Components of fewer than 1/units of all
-    rows are gathered whole into batches by their rarest label and a hash of their name, so that no more than
-    about units x (labels + 1) vectors are placed, however many components there are. Where a component is larger
-    than its split's share, shares can't be met; split_report shows what came out. Targets with null split or no
-    positive share are left out, shares are scaled to 1; without any target the table is empty.
+    Label vectors (rows per value of `label`) are summed per component; every label counts, however rare. Components
+    of fewer than 1/units of all rows are gathered whole into batches by their rarest label and a hash of their name,
+    at least BATCHES to a label, so that no more than about 2 x units + BATCHES x labels vectors, which hold only the
+    labels they have, are placed on the driver, however many components there are. Where a component is larger than its split's share, shares can't be met; split_report and
+    label_report show what came out. Targets with null split or no positive share are left out, shares are scaled to
+    1; without any target the table is empty.
     """
     shares = [(r[0], float(r[1])) for r in targets.where("split is not null and share > 0").groupBy("split").agg(F.max("share")).orderBy(F.desc("max(share)"), "split").limit(1000).collect()]
     spark = examples.sparkSession
@@ -98,19 +114,15 @@ def assign_splits(examples: DataFrame, targets: DataFrame, label: tuple[str, ...
     if not shares:
         return spark.createDataFrame([], out)
     shares = [(s, x / sum(v for _, v in shares)) for s, x in shares]
-    value = F.concat_ws("/", *[label_key(c) for c in label])
-    labels = examples.where("id is not null").groupBy("id").agg(F.min(value).alias("label"))
-    rows = written(related_groups(examples).join(labels, "id"), "grouped-split")
-    counts = rows.groupBy("label").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "label").limit(MAX_LABELS).collect()
-    if not counts:
+    rows = written(related_groups(examples).join(labels_of(examples, label), "id"), "grouped-split")
+    counts = rows.groupBy("label").agg(F.count("*").alias("n_label"))
+    n_labels, n_rows = counts.agg(F.count("*"), F.coalesce(F.sum("n_label"), F.lit(0))).first()
+    if not n_labels:
         return spark.createDataFrame([], out)
-    common = spark.createDataFrame([(r.label, r.n) for r in counts], "label string, n_label long")
-    n_rows = rows.count()
-    vectors = rows.join(F.broadcast(common), "label", "left").select("component", F.coalesce("label", F.lit("")).alias("own"), F.when(F.col("n_label").isNull(), "other").otherwise(F.col("label")).alias("label"), F.coalesce("n_label", F.lit(0)).alias("n_label"))
-    vectors = vectors.groupBy("component", "label").agg(F.count("*").alias("n"), F.first("n_label").alias("n_label"))
+    vectors = rows.groupBy("component", "label").agg(F.count("*").alias("n")).join(counts, "label")
     size = vectors.groupBy("component").agg(F.sum("n").alias("size"), F.min(F.struct("n_label", "label")).alias("rare"))
     small = F.col("size") < F.lit(max(1.0, n_rows / units))
-    batch = F.pmod(F.xxhash64("component"), F.lit(max(1, math.ceil(units / (len(counts) + 1)))))
+    batch = F.pmod(F.xxhash64("component"), F.lit(max(BATCHES, math.ceil(units / (n_labels + 1)))))
     named = size.select("component", F.when(small, F.concat(F.lit("batch:"), F.col("rare.label"), F.lit(":"), batch.cast("string"))).otherwise(F.col("component")).alias("unit"))
     per_unit = vectors.join(named, "component").groupBy("unit", "label").agg(F.sum("n").alias("n")).toPandas()
     placed = stratify([(u, dict(zip(g["label"], g["n"].tolist(), strict=True))) for u, g in per_unit.groupby("unit", sort=True)], shares)
@@ -123,3 +135,12 @@ def split_report(assigned: DataFrame, targets: DataFrame) -> DataFrame:
     per = assigned.groupBy("split").agg(F.count("*").alias("n_ids"), F.count_distinct("component").alias("n_groups"))
     total = assigned.agg(F.count("*").alias("n"))
     return targets.groupBy("split").agg(F.max("share").alias("share_wanted")).join(per, "split", "left").join(F.broadcast(total), how="cross").select("split", F.coalesce("n_ids", F.lit(0)).alias("n_ids"), F.coalesce("n_groups", F.lit(0)).alias("n_groups"), F.round(F.coalesce("n_ids", F.lit(0)) / F.greatest("n", F.lit(1)), 4).alias("share_reached"), "share_wanted")
+
+
+def label_report(assigned: DataFrame, examples: DataFrame, targets: DataFrame, label: tuple[str, ...] = LABEL) -> DataFrame:
+    """Per label and split: ids of the label in the split, ids of the label, share reached, share wanted. Every label has a row for every split, also where nothing of it came."""
+    per = assigned.join(labels_of(examples, label), "id").groupBy("label", "split").agg(F.count("*").alias("n_ids"))
+    total = per.groupBy("label").agg(F.sum("n_ids").alias("n_label"))
+    wanted = targets.where("split is not null and share > 0").groupBy("split").agg(F.max("share").alias("share_wanted"))
+    found = total.crossJoin(wanted).join(per, ["label", "split"], "left").withColumn("n_ids", F.coalesce("n_ids", F.lit(0)))
+    return found.select("label", "split", "n_ids", "n_label", F.round(F.col("n_ids") / F.col("n_label"), 4).alias("share_reached"), "share_wanted")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.broken_pairs import broken_pairs, pair_defects
 from millrace.llm.canonical import canonicalise, lookalike_members, lookalike_pairs
-from millrace.llm.grouped_split import assign_splits, parted_groups, split_report
+from millrace.llm.grouped_split import assign_splits, label_report, parted_groups, split_report
 from millrace.llm.leakage import leaked_items, leaked_report
 from millrace.llm.near_duplicates import near_duplicate_groups, near_duplicate_pairs
 from millrace.llm.packing import fill_report, pack, token_counts
@@ -68,6 +68,10 @@ def p4_report(spark: SparkSession, d: str) -> DataFrame:
     return split_report(written(p4_assign(spark, d), "p4-report"), _t(spark, d, "split_targets"))
 
 
+def p4_labels(spark: SparkSession, d: str) -> DataFrame:
+    return label_report(written(p4_assign(spark, d), "p4-labels"), _t(spark, d, "examples"), _t(spark, d, "split_targets"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicate_pairs(_t(spark, d, "examples"))
 
@@ -117,7 +121,7 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p1_found, p1_sample, p1_report, p1_joint_report, p2_found, p2_pieces, p3_found, p3_defects, p4_found, p4_assign, p4_report, p5_found, p5_groups]
+    own = [p1_found, p1_sample, p1_report, p1_joint_report, p2_found, p2_pieces, p3_found, p3_defects, p4_found, p4_assign, p4_report, p4_labels, p5_found, p5_groups]
     own += [p6_found, p6_report, p7_found, p7_placement, p7_fill, p8_found, p8_report, p9_found, p9_members, p9_forms]
     return {f.__name__: f for f in own}
 

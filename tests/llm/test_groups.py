@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from millrace.llm.grouped_split import assign_splits, parted_groups, related_groups, split_report, stratify
+from millrace.llm.grouped_split import assign_splits, label_report, parted_groups, related_groups, split_report, stratify
 from millrace.llm.proportional_sample import proportional_sample, rake, sample_report, unfillable_cells
 
 TARGETS = "plan string, category string, answerable string, sample_share double, target_share double, min_rows int"
@@ -112,6 +112,21 @@ def test_stratified_assignment(spark):
     assert assign_splits(df.limit(0), targets).count() == 0 and assign_splits(df, targets.limit(0)).count() == 0
 
 
+def test_every_label_is_stratified(spark):
+    # 100 labels of 20 rows, and 40 rarer ones of 10 rows, each row its own group
+    rows = [(f"c{c}-{k}", f"c{c}", "full", None) for c in range(140) for k in range(20 if c < 100 else 10)]
+    df = examples(spark, rows)
+    targets = spark.createDataFrame([("train", 0.8), ("test", 0.2)], "split string, share double")
+    out = assign_splits(df, targets)
+    report = {(r.label, r.split): r for r in label_report(out, df, targets).collect()}
+    assert len(report) == 280 and sum(r.n_ids for r in report.values()) == len(rows)
+    for c in range(140):
+        n = 20 if c < 100 else 10
+        one, two = report[f"c{c}/full", "train"], report[f"c{c}/full", "test"]
+        assert one.n_label == two.n_label == one.n_ids + two.n_ids == n
+        assert abs(two.n_ids - 0.2 * n) <= 0.1 * n
+
+
 def test_rarest_label_first():
     units = [("big", {"a": 80, "z": 1}), *[(f"u{k}", {"a": 1}) for k in range(19)], ("z", {"z": 1})]
     out = stratify(units, [("train", 0.8), ("test", 0.2)])
