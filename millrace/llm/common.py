@@ -15,10 +15,21 @@ def label_key(c: Column | str) -> Column:
     return F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), r"(?U)[\s_\-]+", "")
 
 
+def word_list(*texts: str) -> Column:
+    """Words of the texts as they stand: maximal runs of letters and digits, lower-cased. Null text is empty text."""
+    text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(t), F.lit("")) for t in texts]))
+    return F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), 0)
+
+
+def record_hash(*texts: str) -> Column:
+    """64-bit hash of the canonical record: the words of the texts in their order, repeats included. Null without words."""
+    words = word_list(*texts)
+    return F.when(F.size(words) > 0, F.xxhash64(F.array_join(words, " ")))
+
+
 def word_hashes(*texts: str) -> Column:
     """Sorted distinct 64-bit hashes of the words of the texts: maximal runs of letters and digits, lower-cased. Null text is empty text."""
-    text = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(t), F.lit("")) for t in texts]))
-    words = F.array_distinct(F.regexp_extract_all(text, F.lit(r"[\p{L}\p{N}]+"), 0))
+    words = F.array_distinct(word_list(*texts))
     return F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
 
 

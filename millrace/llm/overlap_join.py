@@ -118,13 +118,13 @@ def similar_classes(sets: DataFrame, threshold: float, sides: bool = False, bloc
     return found.join(one, "c1").join(two, "c2").mapInArrow(lambda it: probe(it, threshold), "c1 long, c2 long, likeness double")
 
 
-def set_classes(rows: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+def set_classes(rows: DataFrame, name: str, keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
     """Groups rows (id, tokens, side) by equal word sets.
 
-    Returns the written classes (c, tokens, side) and the members (id, c). An id counts once: should its rows
+    Returns the written classes (c, tokens, side) and the members (id, c, and the columns named in keep). An id counts once: should its rows
     differ, the one of the smallest class is kept. Classes are named by a 64-bit fingerprint of the sorted set.
     """
     keyed = rows.withColumn("c", F.xxhash64(F.lit(7), "tokens"))
-    members = keyed.groupBy("id").agg(F.min("c").alias("c"))
+    members = keyed.groupBy("id").agg(F.min(F.struct("c", *keep)).alias("m")).select("id", "m.*") if keep else keyed.groupBy("id").agg(F.min("c").alias("c"))
     classes = keyed.groupBy("c").agg(F.first("tokens").alias("tokens"), F.bit_or("side").cast("int").alias("side"))
     return written(classes, name), members

@@ -1,8 +1,8 @@
 """Problem 6: the same or almost the same records in evaluation splits and in train.
 
-Records are brought to a canonical form (case, punctuation, white space and word order removed) and hashed; equal
-hashes join evaluation with train. Hashes alone find only equal records, so the classes of equal records are also
-joined by likeness, two-sided, with overlap_join.
+Records are brought to a canonical form (case, punctuation and white space removed) and hashed; equal hashes join
+evaluation with train. Hashes alone find only equal records, so records are also joined by likeness of their word
+sets, two-sided: those of one set are alike, classes of different sets meet in overlap_join.
 """
 
 from __future__ import annotations
@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import EXPAND_LIMIT, label_key, word_hashes
+from millrace.llm.common import EXPAND_LIMIT, label_key, record_hash, word_hashes
 from millrace.llm.overlap_join import set_classes, similar_classes
 from millrace.session import written
 
@@ -18,13 +18,13 @@ TRAIN, EVAL = 1, 2
 
 
 def _matches(examples: DataFrame, splits: DataFrame, text: str, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """Members (c, id, split) and links (c1, c2) between classes, each class with itself where both sides have it."""
+    """Members (c, id, split, side, and record, the hash of the canonical record) and links (c1, c2) between classes, each class with itself where both sides have it."""
     side = F.when(label_key("split") == "train", TRAIN).when(label_key("split").isin("validation", "test"), EVAL)
     placed = splits.where("id is not null").select("id", label_key("split").alias("split"), side.alias("side")).where("side is not null").distinct()
-    texts = examples.where("id is not null").select("id", word_hashes(text).alias("tokens"))
+    texts = examples.where("id is not null").select("id", word_hashes(text).alias("tokens"), record_hash(text).alias("record"))
     sided = texts.join(placed.groupBy("id").agg(F.bit_or("side").cast("int").alias("side")), "id")
-    classes, members = set_classes(sided.select("id", "tokens", "side"), "split-overlap")
-    members = written(members.join(placed, "id").select("c", "id", "split", "side"), "split-overlap-members")
+    classes, members = set_classes(sided.select("id", "tokens", "side", "record"), "split-overlap", keep=("record",))
+    members = written(members.join(placed, "id").select("c", "id", "split", "side", "record"), "split-overlap-members")
     equal = classes.where((F.col("side") == TRAIN + EVAL) & (F.size("tokens") > 0)).select(F.col("c").alias("c1"), F.col("c").alias("c2"))
     return members, similar_classes(classes, threshold, sides=True).select("c1", "c2").union(equal)
 
@@ -34,7 +34,7 @@ def split_overlap_pairs(examples: DataFrame, splits: DataFrame, text: str = "que
 
     Split labels count in any spelling; ids without a split, splits of unknown ids and other labels are left out;
     repeated rows count once; texts without words match nothing; an id that stands in both splits isn't paired
-    with itself. Where a class of equal texts has more than expand_limit ids on a side, that side's ids are
+    with itself. Where a class of equal word sets has more than expand_limit ids on a side, that side's ids are
     paired with the smallest id of the other side, which keeps every record's overlap.
     """
     members, links = _matches(examples, splits, text, threshold)
@@ -52,19 +52,21 @@ def split_overlap_pairs(examples: DataFrame, splits: DataFrame, text: str = "que
 
 
 def split_overlap_report(examples: DataFrame, splits: DataFrame, text: str = "question", threshold: float = 0.8) -> DataFrame:
-    """Per evaluation split and project: rows, ids whose text stands equally in train, and ids with an equal or almost equal text in train.
+    """Per evaluation split and project: rows, ids whose canonical record stands equally in train, and ids with an equal or almost equal text in train.
 
-    Counts come from classes, no pair of copies is multiplied out. Projects count in any spelling; none is ''.
+    Equal are records of the same words in the same order; likeness, as in split_overlap_pairs, is over word sets.
+    Counts come from records and classes, no pair of copies is multiplied out. Projects count in any spelling; none is ''.
     """
     members, links = _matches(examples, splits, text, threshold)
+    train = members.where(F.col("side") == TRAIN)
+    equal = train.where("record is not null").select("record").distinct().withColumn("equal", F.lit(1))
     links = written(links, "split-overlap-links")
     both = links.union(links.select("c2", "c1")).toDF("ct", "c")
-    train = members.where(F.col("side") == TRAIN).select(F.col("c").alias("ct")).distinct()
-    hit = both.join(train, "ct").groupBy("c").agg(F.max((F.col("ct") == F.col("c")).cast("int")).alias("equal"))
+    alike = both.join(train.select(F.col("c").alias("ct")).distinct(), "ct").select("c").distinct().withColumn("alike", F.lit(1))
     project = examples.where("id is not null").groupBy("id").agg(F.min(label_key("project")).alias("project"))
-    held = members.where(F.col("side") == EVAL).join(project, "id").join(hit, "c", "left")
+    held = members.where(F.col("side") == EVAL).join(project, "id").join(equal, "record", "left").join(alike, "c", "left")
     return held.groupBy("split", "project").agg(
         F.count("*").alias("n"),
-        F.count_if(F.col("equal") == 1).alias("n_equal"),
-        F.count_if(F.col("equal").isNotNull()).alias("n_overlap"),
+        F.count_if(F.col("equal").isNotNull()).alias("n_equal"),
+        F.count_if(F.col("equal").isNotNull() | F.col("alike").isNotNull()).alias("n_overlap"),
     )

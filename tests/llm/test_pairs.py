@@ -142,6 +142,14 @@ def test_cross_split_pairs(spark, limit):
     assert sum(r.n for r in report.values()) == sum(v in ("validation", "test") for v in labels.values())
 
 
+def test_equal_records_keep_order_and_repeats(spark):
+    texts = {"t1": "Which port does A call on B?", "t2": "really slow", "t3": "?!", "e1": "which  PORT does a call on b", "e2": "Which port does B call on A?", "e3": "really, really slow", "e4": "...", "e5": "something else here"}
+    ex = spark.createDataFrame([(i, q, None, 1, None, 1, "p") for i, q in texts.items()], SCHEMA)
+    sp = spark.createDataFrame([(i, "train" if i[0] == "t" else "test") for i in texts], "id string, split string")
+    (r,) = split_overlap_report(ex, sp).collect()
+    assert (r.n, r.n_equal, r.n_overlap) == (5, 1, 3)
+
+
 def test_cross_split_of_empty_tables(spark):
     ex, sp = spark.createDataFrame([], SCHEMA), spark.createDataFrame([], "id string, split string")
     assert split_overlap_pairs(ex, sp).count() == 0 and split_overlap_report(ex, sp).count() == 0
