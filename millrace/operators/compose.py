@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as X
 from millrace.functions.hashing import hash_order, pick, uniform
+from millrace.operators import prompting
+from millrace.session import written
 
 # Headings that say nothing about their section, and categories of answerable questions by weight.
 GENERIC_HEADINGS = ("purpose", "overview", "scope", "runtime", "components", "layers")
@@ -186,6 +188,9 @@ class PlanConfig:
     conflict: float = 0.08
     limit: int = 600
     seed: int = 7
+    distractors: float = 0.35
+    least: int = 2
+    most: int = 4
 
 
 def slot(u: Column, category: Column, cfg: PlanConfig) -> Column:
@@ -197,7 +202,7 @@ def slot(u: Column, category: Column, cfg: PlanConfig) -> Column:
 
 
 def plan_bundles(index: DataFrame, cfg: PlanConfig = PlanConfig()) -> DataFrame:
-    """One planned generation call per section: anchor, size (sections wanted), slots, conflict, plan_id; the first `limit` in hash order."""
+    """One planned generation call per section: anchor, size (sections wanted), slots, conflict, plan_id; the first `limit` in hash order. draw_bundles draws the sections."""
     key = ["project", "source", "heading"]
     u = lambda *tag: uniform(cfg.seed, *key, *map(F.lit, tag))
     slots = F.array(*[slot(u("slot", str(i)), pick(cfg.seed, ANSWERABLE_CATEGORIES, *key, F.lit(f"category{i}")), cfg) for i in range(cfg.batch)])
@@ -209,6 +214,58 @@ def plan_bundles(index: DataFrame, cfg: PlanConfig = PlanConfig()) -> DataFrame:
     return planned.withColumn("plan_id", X.stable_id(F.concat(F.lit("b-"), "project"), "source", "heading")).orderBy("h").limit(cfg.limit)
 
 
+def draw_bundles(index: DataFrame, cfg: PlanConfig = PlanConfig(), cells_met: int = 8) -> DataFrame:
+    """The planned calls with their sections: plan_id, project, context (in hash order, with `relevant`), n_relevant, n_distractors, conflict, slots, prompt.
+
+    Relevant are the anchor and size - 1 other sections of the project, neighbours in its hash order, or all there
+    are. A share cfg.distractors of the calls also gets cfg.least to cfg.most sections of other projects, none with
+    a key that the own project has. They come from `cells_met` cells of the hash order; calls that find too few there
+    draw from the whole index. A call has a conflict only where two relevant sections were drawn.
+    """
+    key, seed = ["project", "source", "heading"], cfg.seed
+    plans = written(plan_bundles(index, cfg).drop("h"), "bundle-plans")
+    sections = index.select(*key, "content")
+
+    near = Window.partitionBy("project").orderBy(hash_order(seed, *key, F.lit("rank")), *key[1:])
+    ranked = sections.join(plans.select("project").distinct(), "project", "left_semi").withColumn("rank", F.row_number().over(near) - 1)
+    sizes = ranked.groupBy("project").agg(F.count("*").alias("n"))
+    start = F.floor(uniform(seed, *key, F.lit("start")) * F.col("n")).cast("int")
+    steps = plans.join(sizes, "project").select("plan_id", "project", F.col("source").alias("s"), F.col("heading").alias("h"), "size", "n", start.alias("start"), F.explode(F.sequence(F.lit(0), F.least(F.col("size").cast("long"), F.col("n")).cast("int") - 1)).alias("step"))
+    others = steps.withColumn("rank", F.pmod(F.col("start") + F.col("step"), F.col("n")).cast("int")).join(ranked, ["project", "rank"]).where(~(F.col("source").eqNullSafe(F.col("s")) & F.col("heading").eqNullSafe(F.col("h"))))
+    others = others.withColumn("pos", F.row_number().over(Window.partitionBy("plan_id").orderBy("step"))).where("pos < size").select("plan_id", "source", "heading", "content")
+    relevant = plans.select("plan_id", *key).join(sections, key).select("plan_id", "source", "heading", "content").union(others).withColumn("relevant", F.lit(True))
+
+    cells = max(1, index.count() // CELL)
+    placed = sections.withColumn("cell", F.floor(uniform(seed, *key, F.lit("cell")) * cells).cast("int"))
+    wanted = plans.where(uniform(seed, *key, F.lit("noise")) < cfg.distractors).select(
+        "plan_id",
+        F.col("project").alias("own"),
+        (F.floor(uniform(seed, *key, F.lit("k")) * (cfg.most - cfg.least + 1)).cast("int") + cfg.least).alias("k"),
+        F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(cells_met - 1)), lambda i: F.floor(uniform(seed, "plan_id", F.lit("met"), i) * cells).cast("int"))).alias("cells"),
+    )
+    own_keys = ranked.select(F.col("project").alias("own"), chunk_key().alias("key")).distinct()
+
+    def drawn(met: DataFrame) -> DataFrame:
+        fits = met.where("project <> own").withColumn("key", chunk_key()).join(own_keys, ["own", "key"], "left_anti")
+        order = Window.partitionBy("plan_id").orderBy(hash_order(seed, "plan_id", *key), *key)
+        return fits.withColumn("pos", F.row_number().over(order)).where("pos <= k").select("plan_id", "source", "heading", "content", "k")
+
+    first = written(drawn(wanted.withColumn("cell", F.explode("cells")).join(placed, "cell")), "bundle-distractors")
+    filled = first.groupBy("plan_id").agg(F.count("*").alias("m"), F.max("k").alias("k")).where("m >= k").select("plan_id")
+    short = wanted.join(filled, "plan_id", "left_anti")
+    noise = first.join(filled, "plan_id", "left_semi").union(drawn(short.crossJoin(sections)))
+
+    mixed = relevant.union(noise.drop("k").withColumn("relevant", F.lit(False)))
+    per = mixed.groupBy("plan_id").agg(F.collect_list(F.struct("source", "heading", "content", "relevant")).alias("context"))
+    n_relevant = F.size(F.filter("context", lambda c: c["relevant"]))
+    told = plans.join(per, "plan_id").withColumns({"n_relevant": n_relevant, "n_distractors": F.size("context") - n_relevant, "planned": F.col("conflict"), "context": shuffled(F.col("context"), seed, F.col("plan_id"))})
+    told = told.withColumn("conflict", F.col("planned") & (F.col("n_relevant") >= 2))
+    own_slot = slot(uniform(seed, *key, F.lit("slot"), F.lit("0")), pick(seed, ANSWERABLE_CATEGORIES, *key, F.lit("category0")), cfg)
+    told = told.withColumn("slots", F.when(F.col("planned") & ~F.col("conflict"), F.concat(F.array(own_slot), F.slice("slots", 2, cfg.batch))).otherwise(F.col("slots")))
+    prompt = F.concat(prompting.batch_instruction(F.col("slots"), F.col("n_distractors") > 0, F.col("conflict")), F.lit("\n\n## Documentation blocks\n\n"), prompting.render_context(F.col("context")), F.lit("\n"))
+    return told.select("plan_id", "project", "context", "n_relevant", "n_distractors", "conflict", "slots", prompt.alias("prompt"))
+
+
 def stratified(rows: DataFrame, wanted: dict[str, int], bucket: Column, seed: int = 42, key: str = "id") -> DataFrame:
     """Up to wanted[b] rows of every bucket b, the first in hash order."""
     quota = rows.sparkSession.createDataFrame(sorted(wanted.items()), "bucket string, quota int")

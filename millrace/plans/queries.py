@@ -354,6 +354,12 @@ def planned_bundles(spark, d):
     return compose.plan_bundles(_index(spark, d)).select("plan_id", "project", "size", "conflict", F.array_join(F.transform("slots", lambda s: F.concat(s["answerable"], F.lit(":"), s["category"])), "|").alias("slots"), F.md5(prompting.batch_instruction(F.col("slots"), F.lit(False), F.col("conflict"))).alias("instruction_md5"))
 
 
+@_query
+def drawn_bundles(spark, d):
+    keys = F.array_join(F.transform("context", lambda c: compose.chunk_key(c["source"], c["heading"])), "|")
+    return compose.draw_bundles(_index(spark, d)).select("plan_id", "project", "n_relevant", "n_distractors", "conflict", keys.alias("keys"), F.md5("prompt").alias("prompt_md5"))
+
+
 @_query
 def planned_mix(spark, d):
     mix = compose.plan_bundles(_index(spark, d)).select(F.explode("slots").alias("s")).groupBy("s.answerable").agg(F.count("*").alias("n"))
