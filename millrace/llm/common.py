@@ -38,8 +38,8 @@ def expand_members(links: DataFrame, members: DataFrame, limit: int = EXPAND_LIM
 
     links: columns c1, c2 of different classes, each link once. members: columns c, id. Returns id_a < id_b,
     each once. A class of more than `limit` members is not multiplied out: its members are paired with the
-    smallest member of the partner class (inside a class: with its smallest member), which keeps every link
-    between different texts and grows in proportion to the rows. inner=False leaves equality inside classes out.
+    smallest member of the partner class (inside a class: with its smallest member), which keeps a link for every
+    member, though not every pair, and grows in proportion to the rows. inner=False leaves equality inside classes out.
     """
     size = members.groupBy("c").agg(F.min("id").alias("rep"), F.count("*").alias("m"))
     out = []
