@@ -1,14 +1,22 @@
-"""Exact set-similarity join by T-occurrence search over inverted lists, divided after DivideSkip.
+"""Exact set-similarity join by T-occurrence search over inverted lists, divided and merged as in DivideSkip.
 
-Two sets r, s of likeness >= t share at least T = ceil(t * max(|r|, |s|)) words. With the words of every set in
-one global order, rare ones first, the lists of a set's first |r| - T + K words are its short lists, the T - K
-others its long lists. A partner must occur on at least K of the short lists: these are merged (sorted by word,
-met, and counted per pair), and only partners that reach the count are probed in the long lists by binary search.
+Sets r, s of likeness >= t share at least T = ceil(t * |r|) words. Every set keeps its words in one global order,
+rare ones first. Its L last words have the longest inverted lists; L follows from T and the length M of the longest
+list as T / (MU * log2(M) + 1). A partner must occur on at least K = T - L of the other, short lists:
+
+1. divide: the short lists are inverted, word by word, and a set fetches those of its own short words;
+2. merge: per set a heap runs over its sorted short lists, counts occurrences, and skips list elements that can't
+   reach the count any more;
+3. probe: of candidates that reach the count, the words on long lists are looked up by binary search, and those that
+   reach the required overlap are kept.
+
+Lists are cut into blocks where exact counts say that a word is frequent, so no key holds more than a block pair.
 """
 
 from __future__ import annotations
 
-import math
+import heapq
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,103 +26,228 @@ from pyspark.sql import functions as F
 
 from millrace.session import written
 
-#: Occurrences on short lists that a partner needs before the long lists are probed.
-K = 2
-#: Cells of the table of word counts that gives the global order; its size is fixed, so it may be broadcast.
-CELLS = 1 << 18
-#: An inverted list that may be longer is cut into blocks of this length, and the blocks meet pairwise in tasks of their own.
+#: Cost of a probe of a long list against that of an element merged; a larger value probes less and merges more.
+MU = 0.004
+#: Elements of an inverted list that meet in one task; longer lists are cut into blocks of this length, which meet pairwise.
 BLOCK = 2000
+#: Frequent words, of which exact counts are broadcast: 16 bytes each. If more words have lists over a block, only lists of a multiple of it count as frequent.
+MOST_FREQUENT = 2_000_000
+#: Cells of the sketch that orders words which aren't frequent; it only orders, so its size is fixed.
+CELLS = 1 << 18
 EPS = 1e-9
 
 
-def word_counts(sets: DataFrame, cells: int = CELLS) -> np.ndarray:
-    """How often words occur over all sets, by hash cell: an upper bound of each word's list length, in `cells` numbers."""
-    rows = sets.select(F.explode("tokens").alias("w")).groupBy(F.pmod("w", F.lit(cells)).cast("int").alias("cell")).agg(F.count("*").alias("n")).toArrow()
-    out = np.zeros(cells, dtype=np.int64)
-    out[rows["cell"].to_numpy()] = rows["n"].to_numpy()
-    return out
+class WordOrder:
+    """Counts that order words: exact for frequent ones, by hash cell for the others."""
+
+    def __init__(self, words: np.ndarray, counts: np.ndarray, cells: np.ndarray, block: int):
+        at = np.argsort(words)
+        self.words, self.counts, self.cells, self.block = words[at], counts[at], cells, block
+
+    def lengths(self, flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Length of every word's list, for ordering, and the blocks it is cut into."""
+        # a word that isn't frequent is put before every frequent one
+        length = np.minimum(self.cells[flat % len(self.cells)], self.counts.min() - 1 if len(self.counts) else np.iinfo(np.int64).max)
+        parts = np.ones(len(flat), dtype=np.int32)
+        if len(self.words):
+            at = np.minimum(np.searchsorted(self.words, flat), len(self.words) - 1)
+            known = self.words[at] == flat
+            length[known] = self.counts[at[known]]
+            parts[known] = -(-length[known] // self.block)
+        return length, parts
 
 
-def postings(sets: DataFrame, counts: np.ndarray, threshold: float, block: int = BLOCK) -> DataFrame:
-    """Short lists as rows: key (word, and block pair where the list is long), class, its size, place of the word in the set's order, own block, whether the block pair is one block with itself."""
-    shared = sets.sparkSession.sparkContext.broadcast(counts)
+def word_order(sets: DataFrame, block: int = BLOCK, cells: int = CELLS, most: int = MOST_FREQUENT) -> WordOrder:
+    """Counts every word over all sets, once, and fetches those over `block` (at most `most`) and the sketch of the others."""
+    counts = written(sets.select(F.explode("tokens").alias("w")).groupBy("w").agg(F.count("*").alias("n")), "word-counts")
+    times = F.greatest(F.lit(0), F.floor(F.log2(F.col("n") / F.lit(block)))).cast("int")
+    steps = {r["times"]: r["words"] for r in counts.where(F.col("n") > block).groupBy(times.alias("times")).agg(F.count("*").alias("words")).collect()}
+    # at most one row per power of two; the lowest limit whose words fit
+    limit = block
+    while sum(n for k, n in steps.items() if block << k >= limit) > most:
+        limit *= 2
+    frequent = counts.where((F.col("n") > block) & (F.col("n") >= limit)).toArrow()
+    rest = counts.where((F.col("n") <= block) | (F.col("n") < limit)).groupBy(F.pmod("w", F.lit(cells)).cast("int").alias("cell")).agg(F.sum("n").alias("n")).toArrow()
+    sketch = np.zeros(cells, dtype=np.int64)
+    sketch[rest["cell"].to_numpy()] = rest["n"].to_numpy()
+    return WordOrder(frequent["w"].to_numpy(), frequent["n"].to_numpy(), sketch, block)
+
+
+def ordered_sets(sets: DataFrame, order: WordOrder, threshold: float, mu: float = MU) -> DataFrame:
+    """Sets with their words in the global order: c, side, n, k (occurrences on short lists that a partner needs), tokens, and parts, the blocks of the list of each short word, one element per short word."""
+    shared = sets.sparkSession.sparkContext.broadcast(order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = shared.value
+        order = shared.value
         for batch in batches:
             tokens = batch.column("tokens")
             flat = tokens.flatten().to_numpy(zero_copy_only=False)
             size = np.diff(tokens.offsets.to_numpy()).astype(np.int64)
             row = np.repeat(np.arange(len(size)), size)
-            freq = counts[flat % len(counts)]
-            order = np.lexsort((flat, freq, row))
-            flat, freq = flat[order], freq[order]
-            place = np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)
-            keep = place < np.repeat(size - np.ceil(threshold * size - EPS).astype(np.int64) + K, size)
-            flat, freq, row, place = flat[keep], freq[keep], row[keep], place[keep]
-            klass, side = batch.column("c").to_numpy()[row], batch.column("side").to_numpy()[row]
-            parts = np.maximum(1, -(-freq // block))
-            own = np.abs(klass ^ (klass >> 17)) % parts
-            again = np.repeat(np.arange(len(flat)), parts)
-            other = np.arange(len(again)) - np.repeat(np.cumsum(parts) - parts, parts)
-            low, high = np.minimum(own[again], other), np.maximum(own[again], other)
-            # odd multipliers mix the block pair into the word's hash; key equality is checked again by exact overlap
-            key = flat[again] + low * np.int64(-7046029254386353131) + high * np.int64(-4417276706812531889)
+            length, parts = order.lengths(flat)
+            at = np.lexsort((flat, length, row))
+            flat, length, parts = flat[at], length[at], parts[at]
+            end = np.cumsum(size)
+            longest = np.where(size > 0, length[np.maximum(end - 1, 0)] if len(length) else 0, 1)
+            need = np.ceil(threshold * size - EPS).astype(np.int64)
+            probed = np.minimum(need - 1, np.floor(need / (mu * np.log2(np.maximum(longest, 1) + 1) + 1)).astype(np.int64))
+            short = np.maximum(0, size - probed)
+            keep = np.arange(len(flat)) - np.repeat(end - size, size) < np.repeat(short, size)
+            offsets = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(key), pa.array(klass[again]), pa.array(size[row][again].astype(np.int32)), pa.array(place[again].astype(np.int32)), pa.array(own[again].astype(np.int32)), pa.array(low == high), pa.array(side[again])],
-                names=["key", "c", "n", "place", "own", "same", "side"],
+                [batch.column("c"), batch.column("side"), pa.array(size.astype(np.int32)), pa.array((need - probed).astype(np.int32)), pa.ListArray.from_arrays(offsets(size), pa.array(flat)), pa.ListArray.from_arrays(offsets(short), pa.array(parts[keep]))],
+                names=["c", "side", "n", "k", "tokens", "parts"],
             )
 
-    return sets.where(F.size("tokens") > 1).select("c", "tokens", "side").mapInArrow(run, "key long, c long, n int, place int, own int, same boolean, side int")
+    rows = sets.where(F.size("tokens") > 1).select("c", F.col("side").cast("int").alias("side"), "tokens")
+    return rows.mapInArrow(run, "c long, side int, n int, k int, tokens array<long>, parts array<int>")
+
 
+def short_lists(ordered: DataFrame) -> DataFrame:
+    """The inverted lists of short words as rows: key (word, and block pair where the list is cut), c, n, k, side, place of the word in the set, own block, whether the block pair is one block with itself, spread (blocks of the set's longest short list)."""
+    words = F.arrays_zip(F.slice("tokens", F.lit(1), F.size("parts")).alias("w"), F.col("parts").alias("parts"))
+    each = ordered.select("c", "n", "k", "side", F.array_max("parts").alias("spread"), F.posexplode(words).alias("place", "x")).select("c", "n", "k", "side", "spread", "place", F.col("x.w").alias("w"), F.col("x.parts").alias("parts"))
+    each = each.withColumns({"own": F.pmod(F.xxhash64("c"), "parts").cast("int"), "other": F.explode(F.sequence(F.lit(0), F.col("parts") - 1))})
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    key = F.when(F.col("parts") == 1, F.col("w")).otherwise(F.xxhash64("w", low, high))
+    return each.select(key.alias("key"), "c", "n", "k", "side", "spread", "place", "own", (low == high).alias("same"))
 
-def candidates(lists: DataFrame, threshold: float, sides: bool) -> DataFrame:
-    """Merges the short lists: pairs of classes (c1, c2) that meet on at least K of them and whose sizes and places still allow the required overlap."""
+
+def fetched(lists: DataFrame, threshold: float, sides: bool) -> DataFrame:
+    """Every set's short lists, one row per element: c1, slot, place (the list), c2, and need (overlap that the pair must reach), k (occurrences that it must reach), room (words that can still be common behind this one).
+
+    The smaller set of a pair (ties by c) asks. Elements that the sizes, or the words left behind this one, rule out
+    aren't fetched. Where a set's lists are long, slot divides them by partner.
+    """
     x, y = lists.alias("x"), lists.alias("y")
     col = F.col
-    need = F.ceil(F.lit(threshold / (1 + threshold)) * (col("x.n") + col("y.n")) - F.lit(EPS))
+    need = F.ceil(F.lit(threshold / (1 + threshold)) * (col("x.n") + col("y.n")) - F.lit(EPS)).cast("int")
+    k = F.least("x.k", "y.k")
     meets = (
         (col("x.key") == col("y.key"))
         & ((col("x.n") < col("y.n")) | ((col("x.n") == col("y.n")) & (col("x.c") < col("y.c"))))
         & (col("x.n") >= F.lit(threshold) * col("y.n") - F.lit(EPS))
         & ((col("x.own") != col("y.own")) | col("x.same"))
-        & (F.least(col("x.n") - col("x.place"), col("y.n") - col("y.place")) + F.lit(K - 1) >= need)
+        & (F.least(col("x.n") - col("x.place"), col("y.n") - col("y.place")) + k - 1 >= need)
     )
     if sides:
         meets = meets & (((col("x.side").bitwiseAND(1) > 0) & (col("y.side").bitwiseAND(2) > 0)) | ((col("x.side").bitwiseAND(2) > 0) & (col("y.side").bitwiseAND(1) > 0)))
-    met = x.join(y.hint("merge"), meets).select(col("x.c").alias("c1"), col("y.c").alias("c2"))
-    return met.groupBy("c1", "c2").agg(F.count("*").alias("n")).where(F.col("n") >= K).select("c1", "c2")
+    room = F.least(col("x.n") - col("x.place"), col("y.n") - col("y.place")) - 1
+    slot = F.pmod(F.xxhash64("y.c"), col("x.spread")).cast("int")
+    return x.join(y.hint("merge"), meets).select(col("x.c").alias("c1"), slot.alias("slot"), col("x.place").alias("place"), col("y.c").alias("c2"), need.alias("need"), k.alias("k"), room.alias("room"))
+
+
+def merge_skip(lists: list[tuple[int, int]], c2: list[int], k: list[int], need: list[int], room: list[int]) -> list[tuple[int, int, int, int]]:
+    """Partners that occur on enough of one set's lists: (c2, occurrences, need, k).
+
+    lists: (start, end) of each list in the columns, in the order of the set's words, elements ascending. A heap holds
+    the head of every list. Elements equal to the smallest head are taken off and counted; if they are too few
+    for any partner, further heads that can't make up the number are taken off as well, and all of these lists
+    jump to the new smallest head.
+    """
+    least = min(min(k[a:b]) for a, b in lists)
+    if len(lists) < least:
+        return []
+    heap = [(c2[a], x, a) for x, (a, _) in enumerate(lists)]
+    heapq.heapify(heap)
+    out = []
+    while len(heap) >= least:
+        top = heap[0][0]
+        taken = []
+        while heap and heap[0][0] == top:
+            taken.append(heapq.heappop(heap))
+        at = taken[-1][2]  # the occurrence on the rearmost list
+        n = len(taken)
+        if n >= k[at] and n + room[at] >= need[at]:
+            out.append((top, n, need[at], k[at]))
+        if n >= least:
+            for _, x, a in taken:
+                if a + 1 < lists[x][1]:
+                    heapq.heappush(heap, (c2[a + 1], x, a + 1))
+            continue
+        while heap and len(taken) < least - 1:
+            taken.append(heapq.heappop(heap))
+        if not heap:
+            break
+        goal = heap[0][0]
+        for _, x, a in taken:
+            a = bisect_left(c2, goal, a, lists[x][1])
+            if a < lists[x][1]:
+                heapq.heappush(heap, (c2[a], x, a))
+    return out
+
+
+def merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """merge_skip over sorted rows of fetched(): candidates c1, c2, m (occurrences), need, k."""
+    names = ("c1", "slot", "place", "c2", "need", "k", "room")
+    held: list[np.ndarray] | None = None
+
+    def search(cols: list[np.ndarray]) -> pa.RecordBatch:
+        c1, slot, place, c2, need, k, room = cols
+        new_set = np.concatenate([[True], (c1[1:] != c1[:-1]) | (slot[1:] != slot[:-1])])
+        new_list = np.flatnonzero(new_set | np.concatenate([[True], place[1:] != place[:-1]]))
+        ends = np.append(new_list[1:], len(c1)).tolist()
+        first = np.flatnonzero(np.append(new_set[new_list], True)).tolist()
+        starts, own = new_list.tolist(), c1[new_list].tolist()
+        c2, k, need, room = c2.tolist(), k.tolist(), need.tolist(), room.tolist()
+        out = []
+        for a, b in zip(first, first[1:]):
+            out += [(own[a], *found) for found in merge_skip(list(zip(starts[a:b], ends[a:b], strict=True)), c2, k, need, room)]
+        cols_out = zip(*out, strict=True) if out else ([],) * 5
+        kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(cols_out, kinds, strict=True)], names=["c1", "c2", "m", "need", "k"])
+
+    for batch in batches:
+        cols = [batch.column(n).to_numpy(zero_copy_only=False) for n in names]
+        if held is not None:
+            cols = [np.concatenate(both) for both in zip(held, cols, strict=True)]
+        # the last set may go on in the next batch
+        same = np.flatnonzero((cols[0] != cols[0][-1]) | (cols[1] != cols[1][-1])) if len(cols[0]) else []
+        cut = int(same[-1]) + 1 if len(same) else 0
+        held = [x[cut:] for x in cols]
+        if cut:
+            yield search([x[:cut] for x in cols])
+    if held is not None and len(held[0]):
+        yield search(held)
 
 
 def probe(batches: Iterator[pa.RecordBatch], threshold: float) -> Iterator[pa.RecordBatch]:
-    """Binary search of one set's words in the other's, for every candidate pair; keeps pairs of likeness >= threshold."""
+    """Looks the words that weren't merged up by binary search and keeps the pairs of likeness >= threshold: those of the first set's long lists in all of the other's words, those of its short lists in the other's long ones."""
     for batch in batches:
         one, two = batch.column("t1"), batch.column("t2")
         a, b, at, bt = one.flatten().to_numpy(zero_copy_only=False), two.flatten().to_numpy(zero_copy_only=False), one.offsets.to_numpy(), two.offsets.to_numpy()
         at, bt = at - at[0], bt - bt[0]
+        merged_, need, k = (batch.column(x).to_numpy(zero_copy_only=False) for x in ("m", "need", "k"))
         likeness = np.zeros(batch.num_rows)
         for i in range(batch.num_rows):
             r, s = a[at[i] : at[i + 1]], b[bt[i] : bt[i + 1]]
-            found = np.searchsorted(s, r)
-            found[found == len(s)] = 0
-            common = int((s[found] == r).sum())
+            mine, theirs = len(r) - need[i] + k[i], len(s) - need[i] + k[i]
+            common = merged_[i] + _found(r[mine:], np.sort(s)) + _found(r[:mine], np.sort(s[theirs:]))
             likeness[i] = common / (len(r) + len(s) - common)
-        keep = np.flatnonzero(likeness >= threshold - EPS)
-        yield pa.RecordBatch.from_arrays([batch.column("c1").take(pa.array(keep)), batch.column("c2").take(pa.array(keep)), pa.array(likeness[keep])], names=["c1", "c2", "likeness"])
+        keep = pa.array(np.flatnonzero(likeness >= threshold - EPS))
+        yield pa.RecordBatch.from_arrays([batch.column("c1").take(keep), batch.column("c2").take(keep), pa.array(likeness).take(keep)], names=["c1", "c2", "likeness"])
+
+
+def _found(words: np.ndarray, ordered: np.ndarray) -> int:
+    if not len(ordered) or not len(words):
+        return 0
+    at = np.minimum(np.searchsorted(ordered, words), len(ordered) - 1)
+    return int((ordered[at] == words).sum())
 
 
-def similar_classes(sets: DataFrame, threshold: float, sides: bool = False, block: int = BLOCK, cells: int = CELLS) -> DataFrame:
+def similar_classes(sets: DataFrame, threshold: float, sides: bool = False, block: int = BLOCK, cells: int = CELLS, mu: float = MU, most: int = MOST_FREQUENT) -> DataFrame:
     """All pairs of classes with likeness >= threshold, each once: c1, c2, likeness.
 
-    sets: c (long, unique), tokens (sorted distinct longs), side (int; 1 and 2 are the sides of a two-sided join,
-    3 both). The frame should be a written table: it is read three times. Empty sets and sets of one word have no
-    partner but themselves. Exact: the order of words only decides how much is read.
+    sets: c (long, unique), tokens (distinct longs), side (int; 1 and 2 are the sides of a two-sided join, 3 both).
+    The frame should be a written table: it is read twice. Empty sets and sets of one word have no partner but
+    themselves. Exact: order and division of the lists only decide how much is read.
     """
     if not 0.5 <= threshold <= 1:
         raise ValueError("threshold must lie between 0.5 and 1")
-    lists = postings(sets, word_counts(sets, cells), threshold, block)
-    found = candidates(lists, threshold, sides)
-    one, two = sets.select(F.col("c").alias("c1"), F.col("tokens").alias("t1")), sets.select(F.col("c").alias("c2"), F.col("tokens").alias("t2"))
+    ordered = written(ordered_sets(sets, word_order(sets, block, cells, most), threshold, mu), "ordered-sets")
+    rows = fetched(short_lists(ordered), threshold, sides).repartition("c1", "slot").sortWithinPartitions("c1", "slot", "place", "c2")
+    found = rows.mapInArrow(merged, "c1 long, c2 long, m int, need int, k int")
+    one, two = ordered.select(F.col("c").alias("c1"), F.col("tokens").alias("t1")), ordered.select(F.col("c").alias("c2"), F.col("tokens").alias("t2"))
     return found.join(one, "c1").join(two, "c2").mapInArrow(lambda it: probe(it, threshold), "c1 long, c2 long, likeness double")
 
 

@@ -11,10 +11,10 @@ from millrace.llm.broken_pairs import broken_pairs, pair_defects
 from millrace.llm.canonical import canonicalise, lookalike_members, lookalike_pairs
 from millrace.llm.grouped_split import assign_splits, label_report, parted_groups, split_report
 from millrace.llm.leakage import leaked_items, leaked_report
-from millrace.llm.near_duplicates import near_duplicate_groups, near_duplicate_pairs
+from millrace.llm.near_duplicates import near_duplicate_groups, near_duplicate_links, near_duplicate_pairs
 from millrace.llm.packing import fill_report, pack, token_counts
 from millrace.llm.proportional_sample import proportional_sample, sample_report, unfillable_cells
-from millrace.llm.split_overlap import split_overlap_pairs, split_overlap_report
+from millrace.llm.split_overlap import split_overlap_pairs, split_overlap_records, split_overlap_report
 from millrace.llm.splitting import split_oversized
 from millrace.session import written
 
@@ -80,10 +80,18 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
     return near_duplicate_groups(_t(spark, d, "examples"))
 
 
+def p5_links(spark: SparkSession, d: str) -> DataFrame:
+    return near_duplicate_links(_t(spark, d, "examples"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return split_overlap_pairs(_t(spark, d, "examples"), _t(spark, d, "split_members"))
 
 
+def p6_records(spark: SparkSession, d: str) -> DataFrame:
+    return split_overlap_records(_t(spark, d, "examples"), _t(spark, d, "split_members"))
+
+
 def p6_report(spark: SparkSession, d: str) -> DataFrame:
     return split_overlap_report(_t(spark, d, "examples"), _t(spark, d, "split_members"))
 
@@ -121,8 +129,8 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p1_found, p1_sample, p1_report, p1_joint_report, p2_found, p2_pieces, p3_found, p3_defects, p4_found, p4_assign, p4_report, p4_labels, p5_found, p5_groups]
-    own += [p6_found, p6_report, p7_found, p7_placement, p7_fill, p8_found, p8_report, p9_found, p9_members, p9_forms]
+    own = [p1_found, p1_sample, p1_report, p1_joint_report, p2_found, p2_pieces, p3_found, p3_defects, p4_found, p4_assign, p4_report, p4_labels, p5_found, p5_groups, p5_links]
+    own += [p6_found, p6_report, p6_records, p7_found, p7_placement, p7_fill, p8_found, p8_report, p9_found, p9_members, p9_forms]
     return {f.__name__: f for f in own}
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.common import EXPAND_LIMIT, label_key, record_hash, word_hashes
+from millrace.llm.common import label_key, product, record_hash, word_hashes
 from millrace.llm.overlap_join import set_classes, similar_classes
 from millrace.session import written
 
@@ -29,26 +29,30 @@ def _matches(examples: DataFrame, splits: DataFrame, text: str, threshold: float
     return members, similar_classes(classes, threshold, sides=True).select("c1", "c2").union(equal)
 
 
-def split_overlap_pairs(examples: DataFrame, splits: DataFrame, text: str = "question", threshold: float = 0.8, expand_limit: int = EXPAND_LIMIT) -> DataFrame:
+def split_overlap_pairs(examples: DataFrame, splits: DataFrame, text: str = "question", threshold: float = 0.8) -> DataFrame:
     """Pairs of ids (id_a < id_b), one in train, the other in validation or test, with likeness >= threshold over the words of `text`.
 
     Split labels count in any spelling; ids without a split, splits of unknown ids and other labels are left out;
     repeated rows count once; texts without words match nothing; an id that stands in both splits isn't paired
-    with itself. Where a class of equal word sets has more than expand_limit ids on a side, that side's ids are
-    paired with the smallest id of the other side, which keeps every record's overlap.
+    with itself. Every train id of a class is paired with every evaluation id of a linked class, whatever their
+    numbers; split_overlap_records says the same in one row per id and link.
     """
     members, links = _matches(examples, splits, text, threshold)
     both = links.union(links.select("c2", "c1")).distinct()
-    parts = {}
-    for name, side in (("t", TRAIN), ("e", EVAL)):
-        own = members.where(F.col("side") == side).select(F.col("c").alias(f"c{name}"), F.col("id").alias(name)).distinct()
-        parts[name] = own, own.groupBy(f"c{name}").agg(F.min(name).alias(f"rep_{name}"), F.count("*").alias(f"m_{name}"))
-    sized = both.toDF("ct", "ce").join(parts["t"][1], "ct").join(parts["e"][1], "ce")
-    fits = (F.col("m_t") <= expand_limit) & (F.col("m_e") <= expand_limit)
-    pairs = sized.where(fits).join(parts["t"][0], "ct").join(parts["e"][0], "ce").select("t", "e")
-    pairs = pairs.union(sized.where(~fits).join(parts["t"][0], "ct").select("t", F.col("rep_e").alias("e")))
-    pairs = pairs.union(sized.where(~fits).join(parts["e"][0], "ce").where("true").select(F.col("rep_t").alias("t"), "e"))
-    return pairs.where("t <> e").select(F.least("t", "e").alias("id_a"), F.greatest("t", "e").alias("id_b")).distinct()
+    train, held = (members.where(F.col("side") == side).select("c", "id").distinct() for side in (TRAIN, EVAL))
+    pairs = product(both, train, held).where("a <> b")
+    return pairs.select(F.least("a", "b").alias("id_a"), F.greatest("a", "b").alias("id_b")).distinct()
+
+
+def split_overlap_records(examples: DataFrame, splits: DataFrame, text: str = "question", threshold: float = 0.8) -> DataFrame:
+    """One row per evaluation id and split with an overlap: id, split, train_id (smallest train id with an equal or almost equal text), n_equal (train ids of the same canonical record), n_alike (train ids of likeness >= threshold, equal ones included)."""
+    members, links = _matches(examples, splits, text, threshold)
+    train = members.where(F.col("side") == TRAIN).select("c", "id", "record").distinct()
+    both = links.union(links.select("c2", "c1")).distinct().toDF("ct", "c")
+    alike = both.join(train.groupBy(F.col("c").alias("ct")).agg(F.count_distinct("id").alias("n"), F.min("id").alias("first")), "ct").groupBy("c").agg(F.sum("n").alias("n_alike"), F.min("first").alias("train_id"))
+    equal = train.where("record is not null").groupBy("record").agg(F.count_distinct("id").alias("n_equal"))
+    held = members.where(F.col("side") == EVAL).select("c", "id", "split", "record").distinct()
+    return held.join(alike, "c").join(equal, "record", "left").select("id", "split", "train_id", F.coalesce("n_equal", F.lit(0)).cast("long").alias("n_equal"), "n_alike")
 
 
 def split_overlap_report(examples: DataFrame, splits: DataFrame, text: str = "question", threshold: float = 0.8) -> DataFrame:

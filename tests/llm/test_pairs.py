@@ -2,13 +2,15 @@
 
 import random
 import re
+from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from millrace.llm.common import expand_members
-from millrace.llm.near_duplicates import near_duplicate_groups, near_duplicate_pairs
-from millrace.llm.overlap_join import similar_classes
-from millrace.llm.split_overlap import split_overlap_pairs, split_overlap_report
+from millrace.llm.near_duplicates import near_duplicate_groups, near_duplicate_links, near_duplicate_pairs
+from millrace.llm.overlap_join import merge_skip, merged, similar_classes
+from millrace.llm.split_overlap import split_overlap_pairs, split_overlap_records, split_overlap_report
 
 SCHEMA = "id string, question string, answer string, c long, tokens string, side int, project string"
 
@@ -57,24 +59,63 @@ def test_pairs_equal_brute_force(spark, seed):
     assert set(found) == brute(rows, lambda r: words(r[1], r[2]))
 
 
-def test_long_lists_in_blocks_give_the_same_pairs(spark):
+@pytest.mark.parametrize("mu", [0.004, 0.5])
+def test_every_division_and_block_gives_the_same_pairs(spark, mu):
     rng = random.Random(5)
     sets = spark.createDataFrame([(k, sorted(rng.sample(range(25), rng.randint(2, 12))), 3) for k in range(150)], "c long, tokens array<long>, side int").cache()
-    as_set = lambda df: {tuple(sorted((r.c1, r.c2))) for r in df.collect()}
-    whole = as_set(similar_classes(sets, 0.7, block=10**6))
-    for block, cells in ((7, 1 << 10), (3, 4)):
-        got = [tuple(sorted((r.c1, r.c2))) for r in similar_classes(sets, 0.7, block=block, cells=cells).collect()]
-        assert len(got) == len(set(got)) and set(got) == whole
     data = {r.c: set(r.tokens) for r in sets.collect()}
-    assert whole == {(a, b) for a in data for b in data if a < b and len(data[a] & data[b]) >= 0.7 * len(data[a] | data[b]) - 1e-9}
-
-
-def test_large_groups_of_copies_are_linked_through_their_smallest_id(spark):
+    wanted = {(a, b): len(data[a] & data[b]) / len(data[a] | data[b]) for a in data for b in data if a < b and len(data[a] & data[b]) >= 0.7 * len(data[a] | data[b]) - 1e-9}
+    for block, cells, most in ((10**6, 1 << 10, 100), (3, 4, 100), (3, 4, 2)):
+        found = similar_classes(sets, 0.7, block=block, cells=cells, mu=mu, most=most).collect()
+        got = {tuple(sorted((r.c1, r.c2))): r.likeness for r in found}
+        assert len(got) == len(found) and got == pytest.approx(wanted)
+
+
+def test_merge_skip_counts_like_a_plain_count():
+    rng = random.Random(8)
+    for _ in range(300):
+        lists = [sorted(rng.sample(range(40), rng.randint(1, 25))) for _ in range(rng.randint(1, 7))]
+        c2, spans = [], []
+        for own in lists:
+            spans.append((len(c2), len(c2) + len(own)))
+            c2 += own
+        per = {x: rng.randint(1, 4) for x in range(40)}
+        k, none = [per[x] for x in c2], [0] * len(c2)
+        counted = Counter(c2)
+        assert {c: n for c, n, *_ in merge_skip(spans, c2, k, none, none)} == {c: n for c, n in counted.items() if n >= per[c]}
+
+
+def test_sets_that_span_batches_are_merged_once():
+    rng = random.Random(9)
+    rows = sorted((c1, 0, place, c2) for c1 in range(12) for place in range(3) for c2 in rng.sample(range(100), rng.randint(1, 20)))
+    whole = pa.RecordBatch.from_pydict({"c1": [r[0] for r in rows], "slot": [r[1] for r in rows], "place": [r[2] for r in rows], "c2": [r[3] for r in rows], "need": [0] * len(rows), "k": [2] * len(rows), "room": [0] * len(rows)})
+    counts = Counter((r[0], r[3]) for r in rows)
+    for size in (1, 7, 10**6):
+        out = [(r["c1"], r["c2"], r["m"]) for b in merged(whole.slice(a, size) for a in range(0, len(rows), size)) for r in b.to_pylist()]
+        assert sorted(out) == sorted((*p, n) for p, n in counts.items() if n >= 2)
+
+
+def test_large_groups_keep_all_pairs_and_have_representatives(spark):
     rows = [(f"a{k:03d}", "one two three four five", "x", 0, None, 0, None) for k in range(30)] + [("b", "one two three four five six", "x", 0, None, 0, None)]
     df = spark.createDataFrame(rows, SCHEMA)
-    pairs = {tuple(r) for r in near_duplicate_pairs(df, expand_limit=10).collect()}
-    assert pairs == {("a000", f"a{k:03d}") for k in range(1, 30)} | {(f"a{k:03d}", "b") for k in range(30)}
-    assert len(near_duplicate_pairs(df, expand_limit=30).collect()) == 30 * 29 // 2 + 30
+    pairs = near_duplicate_pairs(df).collect()
+    ids = sorted(r[0] for r in rows)
+    assert len(pairs) == 31 * 30 // 2 and {tuple(p) for p in pairs} == {(a, b) for a in ids for b in ids if a < b}
+    assert [(r.id_a, r.id_b, r.likeness) for r in near_duplicate_links(df).collect()] == [("a000", "b", round(6 / 7, 6))]
+    groups = {r.id: r for r in near_duplicate_groups(df).collect()}
+    assert {r.class_id for r in groups.values()} == {"a000", "b"} and {r.group_id for r in groups.values()} == {"a000"}
+    assert groups["a007"].class_rows == 30 and groups["b"].n_links == 1
+
+
+def test_links_and_groups_imply_the_pairs(spark):
+    df = spark.createDataFrame(rows_with_edits(6), SCHEMA)
+    group = {r.id: r for r in near_duplicate_groups(df).collect()}
+    members = {}
+    for r in group.values():
+        members.setdefault(r.class_id, []).append(r.id)
+    links = {(r.id_a, r.id_b) for r in near_duplicate_links(df).collect()}
+    implied = {tuple(sorted((a, b))) for x, y in links for a in members[x] for b in members[y]} | {(a, b) for m in members.values() for a in m for b in m if a < b}
+    assert implied == {tuple(r) for r in near_duplicate_pairs(df).collect()}
 
 
 def test_groups_are_the_components_of_the_pairs(spark):
@@ -110,13 +151,24 @@ def test_expansion_counts_each_link_once(spark):
     links = spark.createDataFrame([(1, 2)], "c1 long, c2 long")
     members = spark.createDataFrame([(1, "a"), (1, "d"), (2, "b"), (3, "z")], "c long, id string")
     assert sorted(map(tuple, expand_members(links, members).collect())) == [("a", "b"), ("a", "d"), ("b", "d")]
+    assert sorted(map(tuple, expand_members(links, members, inner=False).collect())) == [("a", "b"), ("b", "d")]
+
+
+@pytest.mark.parametrize("block", [1, 3, 1000])
+def test_expansion_in_blocks(spark, block):
+    sizes = {1: 11, 2: 5, 3: 1, 4: 7}
+    ids = {c: [f"{c}-{k:02d}" for k in range(n)] for c, n in sizes.items()}
+    members = spark.createDataFrame([(c, i) for c, own in ids.items() for i in own], "c long, id string")
+    got = [tuple(r) for r in expand_members(spark.createDataFrame([(1, 2), (3, 1)], "c1 long, c2 long"), members, block=block).collect()]
+    inside = {(a, b) for own in ids.values() for a in own for b in own if a < b}
+    across = {tuple(sorted((a, b))) for x, y in ((1, 2), (3, 1)) for a in ids[x] for b in ids[y]}
+    assert len(got) == len(set(got)) and set(got) == inside | across
 
 
 SPLITS = [("Train", "train"), (" VALIDATION ", "validation"), ("test", "test"), ("trai n", "train"), ("other", None), (None, None)]
 
 
-@pytest.mark.parametrize("limit", [1000, 2])
-def test_cross_split_pairs(spark, limit):
+def test_cross_split_pairs(spark):
     rng = random.Random(7)
     rows = rows_with_edits(4, 60)
     rows += [(f"same{k}", "hot words all alike", None, 0, None, 0, "P one") for k in range(8)]
@@ -129,13 +181,15 @@ def test_cross_split_pairs(spark, limit):
             labels[i] = label
     splits += [("unknown", "train", "v"), (None, "test", "v")]
     ex, sp = spark.createDataFrame(rows, SCHEMA), spark.createDataFrame(splits, "id string, split string, side string")
-    pairs = [tuple(r) for r in split_overlap_pairs(ex, sp, expand_limit=limit).collect()]
+    pairs = [tuple(r) for r in split_overlap_pairs(ex, sp).collect()]
     assert len(pairs) == len(set(pairs))
     wanted = {p for p in brute(rows, lambda r: words(r[1])) if {labels.get(p[0]), labels.get(p[1])} in ({"train", "test"}, {"train", "validation"})}
-    if limit == 1000:
-        assert set(pairs) == wanted
-    else:  # fewer pairs, but every record with an overlap still shows
-        assert set(pairs) <= wanted and {x for p in pairs for x in p} == {x for p in wanted for x in p}
+    assert set(pairs) == wanted
+    records = {r.id: r for r in split_overlap_records(ex, sp).collect()}
+    alike = {}
+    for a, b in wanted:
+        alike.setdefault(b if labels[a] == "train" else a, []).append(a if labels[a] == "train" else b)
+    assert {i: (r.train_id, r.n_alike) for i, r in records.items()} == {i: (min(own), len(own)) for i, own in alike.items()}
     report = {(r.split, r.project): r for r in split_overlap_report(ex, sp).collect()}
     held = {x for p in wanted for x in p if labels[x] != "train"}
     assert sum(r.n_overlap for r in report.values()) == len(held)
@@ -148,6 +202,7 @@ def test_equal_records_keep_order_and_repeats(spark):
     sp = spark.createDataFrame([(i, "train" if i[0] == "t" else "test") for i in texts], "id string, split string")
     (r,) = split_overlap_report(ex, sp).collect()
     assert (r.n, r.n_equal, r.n_overlap) == (5, 1, 3)
+    assert {r.id: r.n_equal for r in split_overlap_records(ex, sp).collect()} == {"e1": 1, "e2": 0, "e3": 0}
 
 
 def test_cross_split_of_empty_tables(spark):
