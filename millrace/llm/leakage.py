@@ -2,8 +2,9 @@
 
 Both sides are cut into partitions of one size, windows of `run` words, each a set of shingles of `shingle` words.
 A window inside a document has containment 1 or it isn't there, so the smallest shingle hash of an item's window
-equals the smallest of the document's window: windows with equal minima are the candidates, and none is missed.
-A candidate counts if the window's words stand in the item, word for word.
+equals the smallest of the document's window. Documents and items that have a minimum in common are candidates, and
+none is missed; only the distinct minima, 8 bytes each, are joined. Candidates are verified by exact containment:
+the item's windows are looked up, word for word, among the document's.
 """
 
 from __future__ import annotations
@@ -13,15 +14,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.canonical import canonical_text
+from millrace.llm.canonical import Forms, canonical_text
+from millrace.session import written
 
 _words = re.compile(r"[^\W_]+")
-#: Windows of all items that may be broadcast; beyond it windows meet documents in an equi-join.
-BROADCAST_WINDOWS = 2_000_000
+#: Distinct words whose hashes a task keeps.
 WORD_MEMO = 500_000
 
 
@@ -55,76 +57,59 @@ def window_minima(numbers: np.ndarray, run: int, shingle: int) -> np.ndarray:
     return h[:n]
 
 
-def _item_windows(items: DataFrame, run: int, shingle: int, item_text: str, item_id: str) -> DataFrame:
-    """item_id, minimum, the window's words joined by blanks."""
+def _texts(rows: DataFrame, id_col: str, text: str, name: str) -> DataFrame:
+    return rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias(name), F.coalesce(F.col(text), F.lit("")).alias("t"))
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        memo: dict[str, int] = {}
-        for frame in frames:
-            out = []
-            for i, t in zip(frame["i"], frame["t"], strict=True):
-                words = _words.findall(canonical_text(t))
-                out += [(i, int(m), " ".join(words[k : k + run])) for k, m in enumerate(window_minima(_word_numbers(words, memo), run, shingle).view(np.int64))]
-            yield pd.DataFrame(out, columns=["item_id", "minimum", "words"])
 
-    rows = items.where(F.col(item_id).isNotNull()).select(F.col(item_id).cast("long").alias("i"), F.coalesce(F.col(item_text), F.lit("")).alias("t"))
-    return rows.mapInPandas(cut, "item_id long, minimum long, words string").distinct()
+def _minima(rows: DataFrame, name: str, run: int, shingle: int) -> DataFrame:
+    """The distinct minima of every text: name, minimum."""
 
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forms, memo = Forms(), {}
+        for batch in batches:
+            found = [np.unique(window_minima(_word_numbers(_words.findall(canonical_text(t, forms)), memo), run, shingle)).view(np.int64) for t in batch.column("t").to_pylist()]
+            ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
+            yield pa.RecordBatch.from_arrays([batch.column(name), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))], names=[name, "minima"])
 
-def leaked_items(documents: DataFrame, items: DataFrame, run: int = 12, shingle: int = 5, text: str = "text", id_col: str = "doc_id", item_text: str = "text", item_id: str = "item_id", broadcast_windows: int = BROADCAST_WINDOWS) -> DataFrame:
+    return rows.mapInArrow(cut, f"{name} long, minima array<long>").select(name, F.explode("minima").alias("minimum"))
+
+
+def _windows(words: list[str], run: int) -> set[str]:
+    return {" ".join(words[k : k + run]) for k in range(len(words) - run + 1)}
+
+
+def _verified(frames: Iterator[pd.DataFrame], run: int) -> Iterator[pd.DataFrame]:
+    """Windows of the item that stand in the document, for rows doc_id, t, item_id, it. Rows of one document mostly follow each other, so its windows are kept for the next row."""
+    forms, items = Forms(), {}
+    text, windows = None, set()
+    for frame in frames:
+        out = []
+        for doc, t, item, it in zip(frame["doc_id"], frame["t"], frame["item_id"], frame["it"], strict=True):
+            if t != text:
+                text, windows = t, _windows(_words.findall(canonical_text(t, forms)), run)
+            if len(items) > 10_000:
+                items.clear()
+            if it not in items:
+                items[it] = _windows(_words.findall(canonical_text(it, forms)), run)
+            if both := len(items[it] & windows):
+                out.append((doc, item, both, len(items[it])))
+        yield pd.DataFrame(out, columns=["doc_id", "item_id", "n_windows", "n_all"])
+
+
+def leaked_items(documents: DataFrame, items: DataFrame, run: int = 12, shingle: int = 5, text: str = "text", id_col: str = "doc_id", item_text: str = "text", item_id: str = "item_id") -> DataFrame:
     """doc_id, item_id, n_windows (distinct windows of the item that the document carries), containment (their share of the item's windows).
 
     Both texts are taken in the canonical form; a window is `run` words in a row. Items of fewer words can't be
-    found. Null text is empty, rows without id are left out, repeated rows count once, empty tables give no rows.
-    Up to broadcast_windows item windows go to every task; more are joined on their minima instead.
+    found. Null text is empty, rows without id are left out, repeated rows count once (of differing texts of one id
+    the pair that shares most), empty tables give no rows.
     """
-    windows = _item_windows(items, run, shingle, item_text, item_id)
-    rows = documents.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("i"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    # of more windows than fit, no row beyond the bound is fetched
-    known = windows.limit(broadcast_windows + 1).toArrow()
-    if known.num_rows <= broadcast_windows:
-        shared = documents.sparkSession.sparkContext.broadcast((np.unique(known["minimum"].to_numpy()), known.to_pandas().groupby("words")["item_id"].agg(list).to_dict()))
-
-        def search(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            minima, items_of = shared.value
-            memo: dict[str, int] = {}
-            forms: dict = {}
-            for frame in frames:
-                out = []
-                for i, t in zip(frame["i"], frame["t"], strict=True):
-                    words = _words.findall(canonical_text(t, forms))
-                    found = window_minima(_word_numbers(words, memo), run, shingle).view(np.int64)
-                    for k in np.flatnonzero(_within(found, minima)):
-                        key = " ".join(words[k : k + run])
-                        out += [(i, item, key) for item in items_of.get(key, ())]
-                yield pd.DataFrame(out, columns=["doc_id", "item_id", "words"])
-
-        found = rows.mapInPandas(search, "doc_id long, item_id long, words string")
-    else:
-
-        def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            memo: dict[str, int] = {}
-            forms: dict = {}
-            for frame in frames:
-                out = []
-                for i, t in zip(frame["i"], frame["t"], strict=True):
-                    words = _words.findall(canonical_text(t, forms))
-                    minima = window_minima(_word_numbers(words, memo), run, shingle).view(np.int64)
-                    out += [(i, m, " ".join(words[k : k + run])) for k, m in enumerate(minima.tolist())]
-                yield pd.DataFrame(out, columns=["doc_id", "minimum", "words"])
-
-        found = rows.mapInPandas(cut, "doc_id long, minimum long, words string").distinct().join(windows, ["minimum", "words"]).select("doc_id", "item_id", "words")
-    total = windows.groupBy("item_id").agg(F.count_distinct("words").alias("n_all"))
-    hits = found.groupBy("doc_id", "item_id").agg(F.count_distinct("words").alias("n_windows"))
-    return hits.join(total, "item_id").select("doc_id", "item_id", "n_windows", F.round(F.col("n_windows") / F.col("n_all"), 4).alias("containment"))
-
-
-def _within(values: np.ndarray, ordered: np.ndarray) -> np.ndarray:
-    if not len(ordered):
-        return np.zeros(len(values), dtype=bool)
-    at = np.searchsorted(ordered, values)
-    at[at == len(ordered)] = 0
-    return ordered[at] == values
+    asked, searched = _texts(items, item_id, item_text, "item_id").distinct(), _texts(documents, id_col, text, "doc_id")
+    known = written(_minima(asked, "item_id", run, shingle), "item-minima")
+    candidates = written(_minima(searched, "doc_id", run, shingle).join(known, "minimum").select("doc_id", "item_id").distinct(), "leak-candidates")
+    pairs = candidates.join(asked.withColumnRenamed("t", "it"), "item_id").join(searched, "doc_id").select("doc_id", "t", "item_id", "it")
+    hits = pairs.mapInPandas(lambda frames: _verified(frames, run), "doc_id long, item_id long, n_windows long, n_all long")
+    most = hits.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_windows", "n_all")).alias("m"))
+    return most.select("doc_id", "item_id", "m.n_windows", F.round(F.col("m.n_windows") / F.col("m.n_all"), 4).alias("containment"))
 
 
 def leaked_report(documents: DataFrame, items: DataFrame, **kw) -> DataFrame:
