@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from millrace.session import written
 
 #: Cost of a probe of a long list against that of an element merged; a larger value probes less and merges more.
-MU = 0.004
+MU = 0.002
 #: Elements of an inverted list that meet in one task; longer lists are cut into blocks of this length, which meet pairwise.
 BLOCK = 2000
 #: Frequent words, of which exact counts are broadcast: 16 bytes each. If more words have lists over a block, only lists of a multiple of it count as frequent.

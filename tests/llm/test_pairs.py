@@ -59,7 +59,7 @@ def test_pairs_equal_brute_force(spark, seed):
     assert set(found) == brute(rows, lambda r: words(r[1], r[2]))
 
 
-@pytest.mark.parametrize("mu", [0.004, 0.5])
+@pytest.mark.parametrize("mu", [0.002, 0.5])
 def test_every_division_and_block_gives_the_same_pairs(spark, mu):
     rng = random.Random(5)
     sets = spark.createDataFrame([(k, sorted(rng.sample(range(25), rng.randint(2, 12))), 3) for k in range(150)], "c long, tokens array<long>, side int").cache()
