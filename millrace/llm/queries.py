@@ -35,9 +35,13 @@ def p1_report(spark: SparkSession, d: str) -> DataFrame:
     return sample_report(_t(spark, d, "examples"), _t(spark, d, "sample_targets"))
 
 
+def p1_joint_sample(spark: SparkSession, d: str) -> DataFrame:
+    """One sample raked to the margins of all plans together."""
+    return proportional_sample(_t(spark, d, "examples"), _t(spark, d, "sample_targets"), joint=True)
+
+
 def p1_joint_report(spark: SparkSession, d: str) -> DataFrame:
-    margins = _t(spark, d, "sample_targets").where(F.col("plan").isin("by_category", "by_answerable"))
-    return sample_report(_t(spark, d, "examples"), margins, joint=True)
+    return sample_report(_t(spark, d, "examples"), _t(spark, d, "sample_targets"), joint=True)
 
 
 def p2_pieces(spark: SparkSession, d: str) -> DataFrame:
@@ -129,7 +133,7 @@ def p9_forms(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [p1_found, p1_sample, p1_report, p1_joint_report, p2_found, p2_pieces, p3_found, p3_defects, p4_found, p4_assign, p4_report, p4_labels, p5_found, p5_groups, p5_links]
+    own = [p1_found, p1_sample, p1_report, p1_joint_sample, p1_joint_report, p2_found, p2_pieces, p3_found, p3_defects, p4_found, p4_assign, p4_report, p4_labels, p5_found, p5_groups, p5_links]
     own += [p6_found, p6_report, p6_records, p7_found, p7_placement, p7_fill, p8_found, p8_report, p9_found, p9_members, p9_forms]
     return {f.__name__: f for f in own}
 

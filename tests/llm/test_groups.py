@@ -6,7 +6,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from millrace.llm.grouped_split import assign_splits, label_report, parted_groups, related_groups, split_report, stratify
-from millrace.llm.proportional_sample import proportional_sample, rake, sample_report, unfillable_cells
+from millrace.llm.proportional_sample import proportional_sample, rake, repaired, sample_report, unfillable_cells
 
 TARGETS = "plan string, category string, answerable string, sample_share double, target_share double, min_rows int"
 EXAMPLES = "id string, category string, answerable string, project string, plan string, quota int, component string"
@@ -40,15 +40,42 @@ def test_sample_meets_quotas_and_reports_gaps(spark):
     for (plan, category), r in report.items():
         key = "".join(category.split())
         assert drawn[(plan, key)] == r.drawn <= r.available
-    assert abs(report["one", "api"].drawn - 300) <= 7 and abs(report["one", "data flow"].drawn - 288) <= 4
+    assert all(r.gap == 0 or r.drawn == r.available for r in report.values())
+    assert abs(report["one", "api"].drawn - 300) <= 7 and abs(report["one", "data flow"].drawn - 288) <= 7
     assert report["one", "rare"].drawn >= min(5, report["one", "rare"].available)
     gaps = {tuple(r) for r in unfillable_cells(df, t).collect()}
     assert gaps == {("one", "absent", "any"), ("two", "api", "none")}
     again = proportional_sample(df.repartition(5), t).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, sample))
     assert proportional_sample(df.limit(0), t).count() == 0 and sample_report(df, t.limit(0)).count() == 0
-    joint = {(r.category, r.answerable): r for r in sample_report(df, spark.createDataFrame([("m1", "api", "any", 0.2, 0.4, 1), ("m1", "dataflow", "any", 0.2, 0.6, 1), ("m2", "any", "full", 0.2, 0.7, 1), ("m2", "any", "none", 0.2, 0.3, 1)], TARGETS), joint=True).collect()}
-    assert abs(joint["api", "any"].drawn - 240) <= 4 and abs(joint["any", "full"].drawn - 420) <= 4
+    margins = spark.createDataFrame([("m1", "api", "any", 0.2, 0.4, 1), ("m1", "dataflow", "any", 0.2, 0.6, 1), ("m2", "any", "full", 0.2, 0.7, 1), ("m2", "any", "none", 0.2, 0.3, 1)], TARGETS)
+    joint = {(r.category, r.answerable): r for r in sample_report(df, margins, joint=True).collect()}
+    assert abs(joint["api", "any"].drawn - 240) <= 20 and abs(joint["any", "full"].drawn - 420) <= 20 and all(r.gap == 0 for r in joint.values())
+    one = proportional_sample(df, margins, joint=True).collect()
+    assert {r.plan for r in one} == {"joint"} and abs(len(one) - 600) <= 20
+    # the margins leave the odds ratio to the pool, in which category and answerability are independent
+    cells = Counter((r.category, r.answerable) for r in one)
+    assert abs(cells["api", "full"] - 0.4 * 0.7 * 600) < 30 and cells["", "full"] == 0
+
+
+def test_weighted_keys_follow_the_weights(spark):
+    rows = [(f"a{k}", "a", "full", None) for k in range(900)] + [(f"b{k}", "b", "full", None) for k in range(300)]
+    t = spark.createDataFrame([("p", "a", "any", 0.1, 0.25, 0), ("p", "b", "any", 0.1, 0.75, 0)], TARGETS)
+    taken = Counter()
+    for seed in range(6):
+        sample = proportional_sample(examples(spark, rows), t, seed=seed).collect()
+        assert Counter(r.category for r in sample) == {"a": 30, "b": 90}
+        taken.update(r.id for r in sample)
+    assert len(taken) > 400 and max(taken.values()) <= 6  # other rows under other seeds
+
+
+def test_repair_tops_up_small_targets_and_keeps_the_size():
+    available = {("a", "x"): 100, ("a", "y"): 50, ("b", "x"): 3, ("c", "y"): 40}
+    targets = [("a", "any", 20.0), ("b", "any", 5.0), ("c", "y", 10.0)]
+    out = repaired({("a", "x"): 30, ("a", "y"): 3}, available, targets, 33)
+    assert out["b", "x"] == 3 and out["c", "y"] == 10 and out["a", "x"] + out["a", "y"] == 20
+    short = repaired({("a", "x"): 2}, available, targets, 2)
+    assert sum(short.values()) == 33 and short["a", "x"] + short["a", "y"] == 20
 
 
 def grouped(rows):
