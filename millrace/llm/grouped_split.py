@@ -19,6 +19,8 @@ VARIANT = r"(?i)([-_](noise|var|aug)[0-9]+)+$"
 UNITS = 2_000
 #: Batches per label at least, so that a rare label can be shared out however many labels there are.
 BATCHES = 32
+#: Splits to fill; a parameter table, larger ones are refused.
+MAX_SPLITS = 1000
 #: Columns whose values are balanced.
 LABEL = ("category", "answerable")
 
@@ -43,15 +45,6 @@ def related_groups(examples: DataFrame, id_col: str = "id", project: str = "proj
     return rows.select("id", "root").distinct().join(named, "root").select("id", "component")
 
 
-def parted_groups(examples: DataFrame, splits: DataFrame) -> DataFrame:
-    """Every example (group_id, id) of a related group whose members stand in more than one split; group_id is the smallest id of the group. Split labels count in any spelling, empty ones don't; members without a split row belong to the group."""
-    groups = written(related_groups(examples), "related-groups")
-    placed = splits.where("id is not null").select("id", label_key("split").alias("split")).where("split <> ''").distinct()
-    parted = groups.join(placed, "id").groupBy("component").agg(F.min("split").alias("low"), F.max("split").alias("high")).where("low <> high").select("component")
-    first = groups.groupBy("component").agg(F.min("id").alias("group_id"))
-    return groups.join(first.join(parted, "component"), "component").select("group_id", "id")
-
-
 def stratify(units: list[tuple[str, dict[str, int]]], shares: list[tuple[str, float]]) -> dict[str, str]:
     """Split of each unit (name, rows per label). Again and again the label with the fewest rows still to place is
     taken, and its units, largest first, go to the split that lacks most rows of the label, then most rows in all,
@@ -108,7 +101,10 @@ def assign_splits(examples: DataFrame, targets: DataFrame, label: tuple[str, ...
     label_report show what came out. Targets with null split or no positive share are left out, shares are scaled to
     1; without any target the table is empty.
     """
-    shares = [(r[0], float(r[1])) for r in targets.where("split is not null and share > 0").groupBy("split").agg(F.max("share")).orderBy(F.desc("max(share)"), "split").limit(1000).collect()]
+    wanted = targets.where("split is not null and share > 0").groupBy("split").agg(F.max("share").alias("share")).limit(MAX_SPLITS + 1).collect()
+    if len(wanted) > MAX_SPLITS:
+        raise ValueError(f"more than {MAX_SPLITS} splits")
+    shares = sorted(((r.split, float(r.share)) for r in wanted), key=lambda x: (-x[1], x[0]))
     spark = examples.sparkSession
     out = "id string, component string, split string"
     if not shares:
@@ -130,6 +126,21 @@ def assign_splits(examples: DataFrame, targets: DataFrame, label: tuple[str, ...
     return rows.join(named.join(F.broadcast(to), "unit").select("component", "split"), "component").select("id", "component", "split")
 
 
+def parted_groups(examples: DataFrame, splits: DataFrame, targets: DataFrame) -> DataFrame:
+    """group_id, id, split of every example whose related group stood in more than one split before and has been put into one.
+
+    All examples are assigned anew (assign_splits); groups whose members stand in several splits of `splits` (id,
+    split) are returned with the split they now have. group_id is the smallest id of the group. Earlier labels count
+    in any spelling, empty ones don't; members without an earlier split belong to the group. Without any target
+    nothing is assigned and the table is empty.
+    """
+    now = written(assign_splits(examples, targets), "assigned-splits")
+    before = splits.where("id is not null").select("id", label_key("split").alias("before")).where("before <> ''").distinct()
+    parted = now.select("id", "component").join(before, "id").groupBy("component").agg(F.min("before").alias("low"), F.max("before").alias("high")).where("low <> high").select("component")
+    first = now.groupBy("component").agg(F.min("id").alias("group_id"))
+    return now.join(first.join(parted, "component"), "component").select("group_id", "id", "split")
+
+
 def split_report(assigned: DataFrame, targets: DataFrame) -> DataFrame:
     """Per split: ids, groups, share reached, share wanted."""
     per = assigned.groupBy("split").agg(F.count("*").alias("n_ids"), F.count_distinct("component").alias("n_groups"))

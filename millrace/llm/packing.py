@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import math
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pandas as pd
@@ -22,21 +23,25 @@ BUCKET_ROWS = 50_000
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
-def token_counter(folder: str = TOKENIZERS, vocabulary: str = VOCABULARY):
-    """A function that counts the tokens of a whole text with a public byte-level vocabulary; null has none."""
+def token_counter(vocabulary: bytes):
+    """A function that counts the tokens of a whole text with a public byte-level vocabulary (a file of ranks); null has none."""
     import tiktoken
 
-    with open(f"{folder}/{vocabulary}", "rb") as f:
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    encode = tiktoken.Encoding(vocabulary, pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
+    encode = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
     return lambda text: len(encode(text)) if text else 0
 
 
+def read_vocabulary(folder: str = TOKENIZERS, name: str = VOCABULARY) -> bytes:
+    return Path(folder, name).read_bytes()
+
+
 def token_counts(documents: DataFrame, text: str = "text", id_col: str = "doc_id", folder: str = TOKENIZERS, vocabulary: str = VOCABULARY) -> DataFrame:
-    """doc_id, n_tokens of every row with an id; null and empty text have 0 tokens."""
+    """doc_id, n_tokens of every row with an id; null and empty text have 0 tokens. The vocabulary, a file of fixed size, is read by the driver only and sent to the tasks."""
+    shared = documents.sparkSession.sparkContext.broadcast(read_vocabulary(folder, vocabulary))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        count = token_counter(folder, vocabulary)
+        count = token_counter(shared.value)
         for frame in frames:
             yield pd.DataFrame({"doc_id": frame["i"], "n_tokens": [count(t) for t in frame["t"]]})
 

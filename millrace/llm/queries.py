@@ -61,7 +61,7 @@ def p3_defects(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
-    return parted_groups(_t(spark, d, "examples"), _t(spark, d, "split_members"))
+    return parted_groups(_t(spark, d, "examples"), _t(spark, d, "split_members"), _t(spark, d, "split_targets")).select("group_id", "id")
 
 
 def p4_assign(spark: SparkSession, d: str) -> DataFrame:

@@ -16,7 +16,7 @@ PARAGRAPH, LINE, SENTENCE, CLAUSE, WORD, ANYWHERE = 0.0, 1.0, 2.0, 6.0, 12.0, 40
 IMBALANCE = 4.0
 #: Cost of a piece more than needed.
 PIECE = 3.0
-#: Stretches of a piece's length that offer one candidate position each; at least 4, so that every piece finds one.
+#: Stretches of a piece's length. A stretch without any boundary offers its cheapest position, so that text without boundaries can be cut too; at least 4, so that every piece finds one.
 GRAIN = 64
 #: Profiles of limits; a parameter table, larger ones are refused.
 MAX_PROFILES = 100
@@ -47,8 +47,8 @@ def split_text(text: str, max_chars: int, overlap: int) -> list[tuple[int, int]]
     """Spans (start, end) of the pieces, in order: each at most max_chars code points, each starting exactly `overlap` code points before the end of the one before it, together the whole text.
 
     Of all such sequences one of the least cost is taken: cost of the boundary at each end, half of it at each
-    start, the squared relative distance from the even length, and a price per piece. Candidates are the cheapest
-    positions of stretches of 1/GRAIN of a piece, so text without boundaries can be cut too.
+    start, the squared relative distance from the even length, and a price per piece. Every boundary is a candidate
+    for an end; stretches of 1/GRAIN of a piece that hold none offer their cheapest position.
     """
     n = len(text)
     if not 0 <= overlap < max_chars:
@@ -59,11 +59,13 @@ def split_text(text: str, max_chars: int, overlap: int) -> list[tuple[int, int]]
     step = max(1, (max_chars - overlap) // GRAIN)
     at = np.arange(overlap + 1, n)
     local = cost[at] + cost[at - overlap] / 2
-    # of each stretch of `step` positions the cheapest is a candidate, the first on a tie
-    pad = np.full(-len(at) % step, np.inf)
-    cells = np.concatenate([local, pad]).reshape(-1, step)
-    pick = cells.argmin(axis=1) + np.arange(len(cells)) * step
-    pick = pick[pick < len(at)]
+    bounds = cost[at] < ANYWHERE
+    stretch = np.arange(len(at)) // step
+    cheapest = np.lexsort((np.arange(len(at)), local, stretch))  # first of each stretch, the earlier one on a tie
+    cheapest = cheapest[np.searchsorted(stretch, np.arange(stretch[-1] + 1) if len(at) else [])]
+    bare = np.ones(stretch[-1] + 1 if len(at) else 0, dtype=bool)
+    bare[stretch[bounds]] = False
+    pick = np.sort(np.concatenate([np.flatnonzero(bounds), cheapest[bare]]))
     at, local = np.append(at[pick], n), np.append(local[pick], 0.0)
     local[np.isinf(local)] = ANYWHERE * 4  # nothing but combined characters there
     pieces = -(-(n - overlap) // (max_chars - overlap))

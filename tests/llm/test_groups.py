@@ -116,8 +116,10 @@ def test_related_groups_follow_chains(spark):
         if s:
             labels[i].add(s.strip().lower())
     wanted = {(min(g), i) for g in grouped(rows) for i in g if len(set().union(*[labels[x] for x in g])) > 1}
-    assert {tuple(r) for r in parted_groups(df, sp).collect()} == wanted
-    assert parted_groups(df.limit(0), sp).count() == 0 and parted_groups(df, sp.limit(0)).count() == 0
+    t = spark.createDataFrame([("train", 0.8), ("test", 0.2)], "split string, share double")
+    got = parted_groups(df, sp, t).collect()
+    assert {(r.group_id, r.id) for r in got} == wanted and len({r.group_id for r in got}) == len({(r.group_id, r.split) for r in got})
+    assert parted_groups(df.limit(0), sp, t).count() == 0 and parted_groups(df, sp.limit(0), t).count() == 0
 
 
 def test_stratified_assignment(spark):

@@ -9,7 +9,7 @@ import pytest
 from millrace.llm import broken_pairs as B
 from millrace.llm.canonical import Forms, Lookalikes, canonicalise, lookalike_members, lookalike_pairs
 from millrace.llm.leakage import leaked_items, leaked_report, window_minima
-from millrace.llm.packing import fill_report, pack, sum_of_squares, token_counts, token_counter
+from millrace.llm.packing import fill_report, pack, read_vocabulary, sum_of_squares, token_counter, token_counts
 from millrace.llm.splitting import IMBALANCE, PIECE, cut_costs, split_oversized, split_text
 
 DOCS = "doc_id long, text string, c string, v string, id long, minimum long"
@@ -146,16 +146,15 @@ def test_pieces_cover_the_text(text):
         check_spans(text, split_text(text, limit, overlap), limit, overlap)
 
 
-def test_best_cuts_on_a_small_text():
-    text = "aa bb. cc dd\nee ff, gg hh. ii"
-    limit, overlap = 12, 2
+@pytest.mark.parametrize("text, limit, overlap", [("aa bb. cc dd\nee ff, gg hh. ii", 12, 2), ("One two. Three, four five six.\n\nSeven eight nine ten eleven. " * 14, 330, 30)])
+def test_best_cuts_over_all_boundaries(text, limit, overlap):
     cost = cut_costs(text)
     n, even_n = len(text), -(-(len(text) - overlap) // (limit - overlap))
     even = (n + (even_n - 1) * overlap) / even_n
 
     price = lambda a, b: IMBALANCE * ((b - a - even) / even) ** 2 + PIECE + (cost[b] + cost[b - overlap] / 2 if b < n else 0.0)
-    least = {}  # cheapest sequence whose last piece ends at a position, over all positions
-    for end in range(overlap + 1, n + 1):
+    least = {}  # cheapest sequence whose last piece ends at a position, over all boundaries
+    for end in (e for e in range(overlap + 1, n + 1) if limit < 64 or cost[e] < 40):
         starts = [0] if end <= limit else []
         starts += [e - overlap for e in least if e < end and end - e + overlap <= limit]
         least[end] = min((price(s, end) + (least[s + overlap] if s else 0.0) for s in starts), default=float("inf"))
@@ -209,6 +208,13 @@ def test_sum_of_squares_follows_its_rule():
     assert levels == fills.tolist() and max(levels) <= capacity and sum(levels) == sum(sizes)
 
 
+@pytest.mark.parametrize("capacity, least", [(512, 0.97), (1024, 0.97), (4096, 0.97)])
+def test_little_room_is_left_over(capacity, least):
+    sizes = np.minimum(capacity, np.random.default_rng(capacity).lognormal(5.3, 0.9, 6000).astype(int) + 1)
+    _, fills = sum_of_squares(sizes, capacity)
+    assert fills.sum() == sizes.sum() and fills.sum() / (len(fills) * capacity) >= least
+
+
 def test_packing_keeps_items_whole(spark):
     sizes = spark.createDataFrame([(k, (k * 37) % 90) for k in range(200)] + [(500, 250), (501, 100), (502, 0), (503, None), (7, 40), (None, 5)], "doc_id long, n_tokens long")
     kinds = spark.createDataFrame([("a", 100), ("b", 64), (None, 9), ("zero", 0)], "kind string, capacity_tokens int")
@@ -235,7 +241,7 @@ def test_packing_keeps_items_whole(spark):
 
 def test_token_counts(spark):
     got = {r.doc_id: r.n_tokens for r in token_counts(docs(spark, [(1, "hello world"), (2, None), (3, ""), (4, "è " * 5000), (None, "x")])).collect()}
-    count = token_counter()
+    count = token_counter(read_vocabulary())
     assert got == {1: 2, 2: 0, 3: 0, 4: count("è " * 5000)} and got[4] >= 5000
 
 
