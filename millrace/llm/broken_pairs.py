@@ -1,12 +1,15 @@
 """Problem 3: broken prompt and response pairs, by labelling functions and an expectation-maximisation label model.
 
-Several noisy labelling functions vote on each defect: 1 for it, -1 against it, 0 for no opinion. The label model
-learns from the votes of all rows how far each function can be trusted, without labels, and gives every pattern of
-votes a posterior. A pair keeps every defect whose posterior exceeds the cutoff.
+Several noisy labelling functions vote on each defect: 1 for it, -1 against it, 0 for no opinion. One of them is a
+word model of declining answers, fitted on a bounded sample of rows whose label says that there is no answer. The
+label model learns from the votes of all rows how far each function can be trusted, without labels, and gives every
+pattern of votes a posterior. A pair keeps every defect whose posterior exceeds that defect's cutoff. Cutoffs are
+validated on a bounded sample of rows, once as they are and once with each defect put into them.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -21,8 +24,14 @@ from millrace.session import written
 
 #: In order of precedence where one defect is asked for.
 DEFECTS = ("empty", "copy", "refusal", "truncated", "language")
-#: Posterior above which a defect counts; validated_cutoff() gives the best value on labelled rows.
+#: Posterior above which a defect counts where there is no row to validate a cutoff on.
 CUTOFF = 0.5
+#: Range of validated cutoffs: nothing is reported that is less likely than the first, nothing left out that is likelier than the second.
+LEAST_MOST = (0.1, 0.9)
+#: Rows of each label that the model of declining answers is fitted on, and rows that cutoffs are validated on: the first in hash order.
+FIT_ROWS, VALIDATION_ROWS = 2000, 400
+#: Log odds from which a word model votes for a declining answer; below 0 it votes against.
+DECLINING = 3.0
 
 # Answers that only hold the place of one, without punctuation.
 PLACEHOLDERS = frozenset("na nd n/a n/d none null nil nan tbd todo tba xxx pending placeholder undefined empty missing blank".split())
@@ -30,11 +39,11 @@ PLACEHOLDERS = frozenset("na nd n/a n/d none null nil nan tbd todo tba xxx pendi
 LEADS = frozenset("q question frage domanda pregunta demande a answer antwort risposta respuesta réponse reponse the is la".split())
 # Phrases of declining sentences, per language.
 DECLINES = {
-    "en": r"can ?not answer|cannot (?:be )?(?:determined?|say|tell|confirm)|can't (?:answer|help|say)|(?:not|isn't) (?:specified|documented|described|covered|mentioned|stated)|never described|do(?:es)? not (?:say|specify|mention|cover|describe)|none of the (?:\w+ )?(?:pages|sections|documents|blocks|excerpts)|nothing in (?:these|the)|not enough information|silent on|will not guess|nothing can be said|\bsorry\b|unable to|would have to look into|no value is given|what remains open|a guess about|don't know|do not know",
-    "it": r"non posso (?:rispondere|aiutar)|non (?:è|e'|sono) (?:determinabil|documentat|specificat|descritt|trattat)|non (?:specifican|precisan|indican)|non (?:lo )?si può (?:stabilire|dire|rispondere)|nessuna delle|servirebbero altr|tace su|non ci sono informazioni|non si documenta|mai descritt|mi dispiace|non intendo supporre|andrebbe verificat|resta aperto|non lo so",
-    "de": r"lässt sich nicht (?:beantworten|sagen|bestimmen)|sagen nicht|nirgends|fehlt jede|nicht (?:dokumentiert|beschrieben|angegeben|bekannt)|offen bleibt|leider|weiß nicht|kann (?:ich )?nicht (?:beantworten|sagen)",
-    "fr": r"impossible de (?:répondre|dire|savoir)|ne (?:précisent|précise|disent|dit) pas|nulle part|pas (?:documenté|décrit|précisé)|reste à savoir|rien non plus|désolé|ne sais pas|ne peux pas répondre",
-    "es": r"no (?:se )?pued[eo] (?:responder|decir|determinar)|no (?:indican|indica|especifican|precisan)|no (?:se describe|está documentado|está descrito)|en ninguna parte|queda abierto|tampoco hay|lo siento|no lo sé",
+    "en": r"(?:can ?not|can't|not able to|unable to) (?:answer|help|assist|say|respond)|(?:outside|beyond) (?:my|the|its) (?:scope|knowledge|reach)|can ?not answer|cannot (?:be )?(?:determined?|say|tell|confirm)|can't (?:answer|help|say)|(?:not|isn't) (?:specified|documented|described|covered|mentioned|stated)|never described|do(?:es)? not (?:say|specify|mention|cover|describe)|none of the (?:\w+ )?(?:pages|sections|documents|blocks|excerpts)|nothing in (?:these|the)|not enough information|silent on|will not guess|nothing can be said|\bsorry\b|unable to|would have to look into|no value is given|what remains open|a guess about|don't know|do not know",
+    "it": r"non (?:posso|possiamo|sono in grado di) (?:rispondere|aiutar|dir)|fuori (?:dal mio|dalla mia|ambito|portata)|non (?:è|e'|sono) (?:determinabil|documentat|specificat|descritt|trattat)|non (?:specifican|precisan|indican)|non (?:lo )?si può (?:stabilire|dire|rispondere)|nessuna delle|servirebbero altr|tace su|non ci sono informazioni|non si documenta|mai descritt|mi dispiace|non intendo supporre|andrebbe verificat|resta aperto|non lo so",
+    "de": r"kann (?:ich )?(?:dabei |hier |ihnen |dir )*nicht (?:helfen|weiterhelfen)|außerhalb (?:meines|meiner|des)|lässt sich nicht (?:beantworten|sagen|bestimmen)|sagen nicht|nirgends|fehlt jede|nicht (?:dokumentiert|beschrieben|angegeben|bekannt)|offen bleibt|leider|weiß nicht|kann (?:ich )?nicht (?:beantworten|sagen)",
+    "fr": r"(?:hors|en dehors) de (?:mon|ma|mes)|ne (?:peux|peut) pas (?:aider|vous aider)|impossible de (?:répondre|dire|savoir)|ne (?:précisent|précise|disent|dit) pas|nulle part|pas (?:documenté|décrit|précisé)|reste à savoir|rien non plus|désolé|ne sais pas|ne peux pas répondre",
+    "es": r"fuera de mi|no puedo (?:ayudar|contestar)|no (?:se )?pued[eo] (?:responder|decir|determinar)|no (?:indican|indica|especifican|precisan)|no (?:se describe|está documentado|está descrito)|en ninguna parte|queda abierto|tampoco hay|lo siento|no lo sé",
 }
 # Function words of the languages, in two lists that no word shares.
 GRAMMAR = {
@@ -105,6 +114,8 @@ def _plain_words(text: str) -> tuple[list[str], bool]:
         for line in text.split("\n"):
             if line.lstrip().startswith("```"):
                 fenced = not fenced
+                if not fenced:
+                    out.append(line.lstrip()[3:])  # text may go on behind the closing mark
             elif not fenced:
                 out.append(line)
         text = "\n".join(out)
@@ -130,14 +141,41 @@ def _sign(x: bool) -> int:
     return 1 if x else -1
 
 
-def votes(question: str | None, answer: str | None) -> dict[str, list[int]]:
-    """Votes of the labelling functions of each defect on one pair; null is empty text."""
+def _content(words: list[str]) -> set[str]:
+    """Words that could say what a text is about: neither short nor a function word."""
+    return {w for w in words if len(w) > 3 and w not in _grammar and w not in _structure}
+
+
+def _coverage(words: list[str], language: str) -> float:
+    """Share of words that are function words of a language."""
+    own = sum(any(x == language for x, _ in (*_grammar.get(w, ()), *_structure.get(w, ()))) for w in words)
+    return own / len(words)
+
+
+def fit_declining(declining: list[str | None], others: list[str | None]) -> dict[str, float]:
+    """Log odds of every word between answers that decline and others, words counted once an answer; of words that both kinds have about as often there is none."""
+    counts = []
+    for answers in (declining, others):
+        seen: Counter = Counter()
+        for a in answers:
+            seen.update(set(_plain_words(a or "")[0]))
+        counts.append(seen)
+    out = {}
+    for w in counts[0].keys() | counts[1].keys():
+        odds = math.log((counts[0][w] + 1) / (len(declining) + 2)) - math.log((counts[1][w] + 1) / (len(others) + 2))
+        if abs(odds) > 0.5:
+            out[w] = round(odds, 3)
+    return out
+
+
+def votes(question: str | None, answer: str | None, declining: dict[str, float] | None = None) -> dict[str, list[int]]:
+    """Votes of the labelling functions of each defect on one pair; null is empty text. declining: log odds from fit_declining."""
     q, a = (question or "").strip(), (answer or "").strip()
     words, asked = _word.findall(a.lower()), _word.findall(q.lower())
     bare = re.sub(r"[^\w/]+", "", a).strip("_/").lower()
     empty = [_sign(not words), _sign(not bare or bare in PLACEHOLDERS or "".join(words) in PLACEHOLDERS), _sign(len(words) <= 2 and len(a) <= 16)]
     if empty[0] > 0 or empty[1] > 0:
-        return {"empty": empty, "copy": [-1, -1, -1], "refusal": [-1, -1, -1], "truncated": [0, 0, 0, -1, 0], "language": [0, 0, 0]}
+        return {"empty": empty, "copy": [-1, -1, -1], "refusal": [-1, -1, -1, -1, 0], "truncated": [0, 0, 0, -1, 0], "language": [0, 0, 0, 0]}
 
     lead = 0
     while lead < len(words) and lead < 3 and words[lead] in LEADS and words[lead] != (asked[0] if asked else ""):
@@ -159,7 +197,12 @@ def votes(question: str | None, answer: str | None) -> dict[str, list[int]]:
         _sign(opens),
         _sign(opens and all(_declines(x) for x in sentences[1:])),
         _sign(len(words) <= 45 and not numbers and bool(_negation.search(text.lower()))),
+        _sign(len(words) <= 25 and "[" not in a and "`" not in a and not numbers and len(_content(words) & _content(asked)) <= 1 and not _content(asked) <= _content(words)),
+        0,
     ]
+    if declining:
+        odds = sum(declining.get(w, 0.0) for w in set(plain))
+        refusal[4] = 1 if odds > DECLINING else -1 if odds < 0 else 0
 
     lines = a.split("\n")
     fences = sum(line.lstrip().startswith("```") for line in lines)
@@ -178,11 +221,17 @@ def votes(question: str | None, answer: str | None) -> dict[str, list[int]]:
         1 if not inside and not whole and (ended[-1:] in DANGLING or ended.rsplit(None, 1)[-1:] and ended.rsplit(None, 1)[-1].lower() in OPEN_WORDS) else 0,
     ]
 
-    language = [0, 0, 0]
+    language = [0, 0, 0, 0]
     if len(words) >= 6:
-        for k, (x, y) in enumerate(zip(_languages(_plain_words(q)[0]), _languages(plain), strict=True)):
+        mine = _languages(_plain_words(q)[0])
+        for k, (x, y) in enumerate(zip(mine, _languages(plain), strict=True)):
             if x and y:
                 language[k] = _sign(x != y)
+        # the answer may be in a language that no list knows: then it lacks the function words of the question's
+        agreed = {x for x in mine if x}
+        if len(agreed) == 1 and sum(x is not None for x in mine) >= 2 and len(plain) >= 8:
+            share = _coverage(plain, agreed.pop())
+            language[3] = 1 if share < 0.12 else -1 if share > 0.25 else 0
     return {"empty": empty, "copy": copy, "refusal": refusal, "truncated": truncated, "language": language}
 
 
@@ -216,50 +265,91 @@ def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100)
 
 
 def validated_cutoff(posteriors: np.ndarray, truth: np.ndarray) -> float:
-    """The cutoff with the best F1 on labelled rows; the lowest such value, 0.5 without any positive row."""
+    """The cutoff within LEAST_MOST that has the best F1 on labelled rows, in the middle of the gap between the posteriors on both sides of it; CUTOFF without any positive row."""
+    least, most = LEAST_MOST
+    levels = np.unique(np.concatenate([[least], np.clip(posteriors, least, most), [most]]))
     best, at = 0.0, CUTOFF
-    for c in np.unique(np.round(posteriors, 3)):
-        found = posteriors > c
-        hit = (found & truth).sum()
-        f1 = 2 * hit / max(1, found.sum() + truth.sum())
-        if f1 > best:
-            best, at = f1, float(c)
+    for low, high in zip(levels, levels[1:]):
+        found = posteriors > (low + high) / 2
+        f1 = 2 * (found & truth).sum() / max(1, found.sum() + truth.sum())
+        if f1 > best + 1e-12:
+            best, at = f1, float(low + high) / 2
     return at
 
 
-def pair_defects(examples: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
-    """id, defect, posterior: every defect of every id whose posterior exceeds the cutoff, one or more rows per broken pair.
+def spoilt(pairs: list[tuple[str | None, str | None]], declined: list[str | None]) -> dict[str, list[tuple[str | None, str | None]]]:
+    """Each defect put into sound pairs: nothing or a placeholder, the question itself, an answer that declines, an answer broken off within its last word, and the answer of a pair in another language."""
+    out: dict[str, list] = {d: [] for d in DEFECTS}
+    marks = ["", None, "N/A", " ", "TBD", "-"]
+    tongue = [_clear(Counter(x for x in _languages(_plain_words(q or "")[0]) if x), 2.0) for q, _ in pairs]
+    for k, (q, a) in enumerate(pairs):
+        out["empty"].append((q, marks[k % len(marks)]))
+        if q and len(q.split()) >= 4:
+            out["copy"].append((q, q if k % 2 else f"Q: {q.lower()}"))
+        if declined:
+            out["refusal"].append((q, declined[k % len(declined)]))
+        cut = (a or "").rstrip()[: int(len(a or "") * (0.4 + 0.1 * (k % 5)))].rstrip()
+        if len(cut) > 30 and cut[-1].isalnum():
+            out["truncated"].append((q, cut[:-1] if cut[-2].isalnum() else cut))
+        other = next((a2 for j in range(1, len(pairs)) if tongue[k] and tongue[m := (k + j) % len(pairs)] and tongue[m] != tongue[k] and (a2 := pairs[m][1])), None)
+        if other:
+            out["language"].append((q, other))
+    return out
+
+
+def _sample(rows: DataFrame, n: int) -> list[tuple[str | None, str | None]]:
+    """Question and answer of the first n ids in hash order."""
+    return [(r.question, r.answer) for r in rows.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(n).select("question", "answer").collect()]
+
+
+def pair_defects(examples: DataFrame, cutoff: float | None = None, fit_rows: int = FIT_ROWS, validation_rows: int = VALIDATION_ROWS) -> DataFrame:
+    """id, defect, posterior: every defect of every id whose posterior exceeds its cutoff, one or more rows per broken pair.
 
     Refusals count only where answerable is full, in any spelling. Null question, answer or label is empty;
     repeated rows of an id count once (the row with the smallest votes, should they differ); rows without id are
     left out. The label model is fitted on the vote patterns of all rows, of which there are at most 3 to the
-    number of functions of a defect.
+    number of functions of a defect. Without `cutoff` each defect has its own, validated on validation_rows rows
+    and their spoilt copies; fit_rows rows of each label fit the model of declining answers.
     """
+    rows = examples.where("id is not null").select("id", "question", "answer", label_key("answerable").alias("label"))
+    declined = [a for _, a in _sample(rows.where("label = 'none' and answer is not null"), fit_rows)]
+    given = _sample(rows.where("label = 'full' and answer is not null"), fit_rows)
+    odds = fit_declining(declined, [a for _, a in given]) if declined and given else {}
+    shared = examples.sparkSession.sparkContext.broadcast(odds)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
-            all_votes = [votes(q, a) for q, a in zip(frame["question"], frame["answer"], strict=True)]
+            all_votes = [votes(q, a, shared.value) for q, a in zip(frame["question"], frame["answer"], strict=True)]
             out = {"id": frame["id"], "full": frame["full"]}
             for d in DEFECTS:
                 out[d] = ["".join("-0+"[x + 1] for x in v[d]) for v in all_votes]
             yield pd.DataFrame(out)
 
     schema = "id string, full boolean, " + ", ".join(f"`{d}` string" for d in DEFECTS)
-    rows = examples.where("id is not null").select("id", "question", "answer", (label_key("answerable") == "full").alias("full"))
-    voted = rows.mapInPandas(run, schema).groupBy("id").agg(F.min(F.struct("full", *DEFECTS)).alias("v")).select("id", "v.*")
+    asked = rows.select("id", "question", "answer", (F.col("label") == "full").alias("full"))
+    voted = asked.mapInPandas(run, schema).groupBy("id").agg(F.min(F.struct("full", *DEFECTS)).alias("v")).select("id", "v.*")
     voted = written(voted, "pair-votes")
     seen = voted.select(F.explode(F.map_from_arrays(F.array(*map(F.lit, DEFECTS)), F.array(*DEFECTS))).alias("defect", "pattern")).groupBy("defect", "pattern").agg(F.count("*").alias("n")).toPandas()
+    sound = given[:validation_rows] if cutoff is None else []
+    trials = {None: sound, **(spoilt(sound, declined) if sound else {})}
+    cast = {d: ["".join("-0+"[x + 1] for x in v[d]) for v in (votes(q, a, odds) for q, a in pairs)] for d, pairs in trials.items() if d}
+    whole = [votes(q, a, odds) for q, a in sound]
     table = []
     for defect in DEFECTS:
-        own = seen[seen["defect"] == defect].sort_values("pattern")
-        posts = fit_label_model(np.array([["-0+".index(x) - 1 for x in p] for p in own["pattern"]]), own["n"].to_numpy(float))
-        table += [(defect, p, float(x)) for p, x in zip(own["pattern"], posts, strict=True) if x > cutoff]
+        plain = ["".join("-0+"[x + 1] for x in v[defect]) for v in whole]
+        own = dict(zip(*seen[seen["defect"] == defect].sort_values("pattern")[["pattern", "n"]].to_numpy().T, strict=True)) if (seen["defect"] == defect).any() else {}
+        patterns = sorted({*own, *plain, *cast.get(defect, [])})
+        posts = dict(zip(patterns, fit_label_model(np.array([["-0+".index(x) - 1 for x in p] for p in patterns]), np.array([float(own.get(p, 0)) for p in patterns])), strict=True))
+        least = cutoff
+        if least is None:
+            least = validated_cutoff(np.array([posts[p] for p in [*plain, *cast.get(defect, [])]], dtype=float), np.array([False] * len(plain) + [True] * len(cast.get(defect, [])), dtype=bool))
+        table += [(defect, p, float(posts[p])) for p in own if posts[p] > least]
     out = voted.sparkSession.createDataFrame(table, "defect string, pattern string, posterior double")
     long = voted.select("id", "full", F.explode(F.map_from_arrays(F.array(*map(F.lit, DEFECTS)), F.array(*DEFECTS))).alias("defect", "pattern"))
     return long.where("full or defect <> 'refusal'").join(F.broadcast(out), ["defect", "pattern"]).select("id", "defect", F.round("posterior", 6).alias("posterior"))
 
 
-def broken_pairs(examples: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+def broken_pairs(examples: DataFrame, cutoff: float | None = None) -> DataFrame:
     """id, defect of every broken pair, the first of its defects in the order of DEFECTS. Edge cases as in pair_defects."""
     rank = F.array_position(F.array(*map(F.lit, DEFECTS)), F.col("defect"))
     return pair_defects(examples, cutoff).groupBy("id").agg(F.min_by("defect", rank).alias("defect"))

@@ -285,8 +285,30 @@ def test_defects(spark):
             assert got.get(f"id{n:03d}-{k}") == defect, CASES[k]
     assert not {i for i in got if i.startswith("ok")} and "nolabel" not in got and "none" not in got
     assert B.broken_pairs(df.limit(0)).count() == 0
-    many = B.pair_defects(df).groupBy("id").count().where("count > 1").count()
-    assert many >= 0
+
+
+def test_refusals_and_languages_beyond_the_lists_and_several_labels(spark):
+    german = "Welcher Schritt des Routers prüft die Nutzdaten, bevor die Warteschlange sie vom Broker annimmt und ablegt?"
+    dutch = "De router controleert het bericht voordat de wachtrij het aanneemt en schrijft daarna een waarschuwing naar het logboek."
+    refusals = ["I am not able to help with that request.", "That is outside my scope.", "Non posso rispondere a questa domanda: nelle sezioni non si documenta nulla di simile."]
+    rows = [(f"r{k}-{n}", GOOD_Q, a, "full") for n in range(20) for k, a in enumerate(refusals)] + [(f"nl{n}", german, dutch, "full") for n in range(20)]
+    rows += [(f"none{n}", GOOD_Q, f"The sections do not say which step does it in case {n}; nothing is documented.", "none") for n in range(80)]
+    rows += [(f"ok{n:03d}", GOOD_Q, GOOD + f" It restarts {n} times.", "full") for n in range(400)] + [(f"de{n:03d}", german, f"Der Router prüft die Nutzdaten, bevor die Warteschlange sie annimmt, und schreibt {n} Warnungen in das Protokoll [a.md — B].", "full") for n in range(100)]
+    df = spark.createDataFrame(rows, "id string, question string, answer string, answerable string")
+    got = {}
+    for r in B.pair_defects(df).collect():
+        got.setdefault(r.id, set()).add(r.defect)
+    for n in range(20):
+        assert "refusal" in got.get(f"r0-{n}", ()) and "refusal" in got.get(f"r1-{n}", ())
+        assert got[f"r2-{n}"] == {"refusal", "language"} and got.get(f"nl{n}") == {"language"}
+    assert not {i for i in got if i[:2] in ("ok", "de")}
+    assert {r.defect for r in B.broken_pairs(df).where("id like 'r2-%'").collect()} == {"refusal"}
+
+
+def test_validated_cutoff_and_spoilt_pairs():
+    assert B.validated_cutoff(np.array([0.05, 0.3, 0.6, 0.7]), np.array([False, False, True, True])) == pytest.approx(0.45)
+    made = B.spoilt([(GOOD_Q, GOOD), ("Perché il nodo risponde con un cursore scaduto dopo il riavvio della coda?", "Il nodo usa la copia della coda finché il limite resta sotto 5 e mantiene il valore già presente.")], ["cannot answer"])
+    assert set(made) == set(B.DEFECTS) and all(made[d] for d in B.DEFECTS)
 
 
 def test_label_model_recovers_noisy_votes():
