@@ -7,10 +7,12 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Patterns of a fence line and of a heading line, and the heading of text above the first one.
 _FENCE = re.compile(r"^\s*(```|~~~)")
 _HEADING = re.compile(r"^(#{1,6})\s+(.*?)\s*#*\s*$")
 FIRST = "Overview"
@@ -24,33 +26,36 @@ class ChunkConfig:
     most: int = 4000
 
 
+def _outside_fences(lines: list[str]) -> list[int]:
+    """Numbers of the lines that neither open or close a fence nor stand inside one; a fence ends only with its own marker."""
+    marks = [(k, m.group(1)) for k, m in ((k, _FENCE.match(line)) for k, line in enumerate(lines)) if m]
+    inside = np.zeros(len(lines) + 1, dtype=bool)
+    k = 0
+    while k < len(marks):
+        start, marker = marks[k]
+        end = next((j for j in range(k + 1, len(marks)) if marks[j][1] == marker), None)
+        inside[start : marks[end][0] + 1 if end is not None else len(lines)] = True
+        k = len(marks) if end is None else end + 1
+    return np.flatnonzero(~inside[: len(lines)]).tolist()
+
+
 def sections(text: str, cfg: ChunkConfig = ChunkConfig()) -> list[tuple[str, list[str], str]]:
     """(heading, headings above it and itself, body) of every section with enough text, in order.
 
-    Headings inside fences and outside the level range belong to the body; a fence ends only with its own marker;
-    a section too short is left out, but its heading still counts above those below it.
+    The boundaries are found first: headings of the level range outside fences. A section's body is the slice of
+    lines up to the next boundary. A section too short is left out, but its heading still counts above those below it.
     """
-    out: list[tuple[str, list[str], str]] = []
-    path: list[tuple[int, str]] = []
-    title, body, fence = FIRST, [], None
-    for line in [*text.splitlines(), None]:
-        mark = _FENCE.match(line) if line is not None else None
-        head = _HEADING.match(line) if line is not None and not mark and fence is None else None
-        starts = head is not None and cfg.lowest <= len(head.group(1)) <= cfg.highest
-        if line is None or starts:
-            content = "\n".join(body).strip()
-            if len(content) >= cfg.least:
-                out.append((title, [h for _, h in path], content[: cfg.most]))
-        if line is None:
-            break
-        if starts:
-            level, title, body = len(head.group(1)), head.group(2).strip() or FIRST, []
-            path = [p for p in path if p[0] < level] + [(level, title)]
-            continue
-        if mark:
-            fence = mark.group(1) if fence is None else None if mark.group(1) == fence else fence
-        body.append(line)
-    return out
+    lines = text.splitlines()
+    found = ((k, _HEADING.match(lines[k])) for k in _outside_fences(lines))
+    heads = [(k, len(m.group(1)), m.group(2).strip() or FIRST) for k, m in found if m and cfg.lowest <= len(m.group(1)) <= cfg.highest]
+    starts = np.array([-1, *(k for k, _, _ in heads)])
+    ends = np.append(starts[1:], len(lines))
+    paths: list[list[str]] = [[]]
+    for j, (_, level, title) in enumerate(heads):
+        above = next((i for i in range(j - 1, -1, -1) if heads[i][1] < level), None)
+        paths.append([*(paths[above + 1] if above is not None else []), title])
+    bodies = ["\n".join(lines[a + 1 : b]).strip() for a, b in zip(starts, ends, strict=True)]
+    return [(path[-1] if path else FIRST, path, body[: cfg.most]) for path, body in zip(paths, bodies, strict=True) if len(body) >= cfg.least]
 
 
 def plain(text: str, name: str, cfg: ChunkConfig = ChunkConfig()) -> list[tuple[str, list[str], str]]:

@@ -4,16 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions import text as X
-from millrace.operators.components import connected_components
-from millrace.session import tasks, written
+from millrace.session import written
 
-#: Rows whose components are decided in one task, about.
-ROWS_PER_TASK = 20_000
+#: Rounds of the question dedup; a round decides the next row of every set of sources, so this many means that something is wrong.
+MAX_ROUNDS = 200
 REASONS = ("empty_question", "duplicate_question", "near_duplicate", "same_subject", "context_limit")
 
 
@@ -39,70 +37,73 @@ def keep_first(rows: DataFrame, key: list[Column | str], order: list[Column | st
     return rows.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")
 
 
-def _greedy(similarity: float, per_context: int):
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
-        exact: dict[str, str] = {}
-        subjects: dict[tuple, str] = {}
-        buckets: dict[str, list[tuple[frozenset[str], str]]] = {}
-        out = []
-        for row in frame.sort_values("ord", kind="stable").itertuples(index=False):
-            tokens = frozenset(row.tokens)
-            reason = of = like = None
-            bucket = buckets.setdefault(row.signature, [])
-            subject = (row.signature, "\n".join(row.subject), row.label)
-            if not tokens:
-                reason = REASONS[0]
-            elif row.norm in exact:
-                reason, of = REASONS[1], exact[row.norm]
-            else:
-                likes = [len(tokens & t) / len(tokens | t) for t, _ in bucket]
-                near = next((k for k, x in enumerate(likes) if x >= similarity), None)
-                if near is not None:
-                    reason, of, like = REASONS[2], bucket[near][1], round(max(likes), 3)
-                elif len(row.subject) and subject in subjects:
-                    reason, of = REASONS[3], subjects[subject]
-                elif per_context and len(bucket) >= per_context:
-                    reason = REASONS[4]
-                else:
-                    exact[row.norm] = row.id
-                    if len(row.subject):
-                        subjects[subject] = row.id
-                    bucket.append((tokens, row.id))
-            out.append((row.id, row.ord, reason, of, like))
-        return pd.DataFrame(out, columns=["id", "ord", "reason", "duplicate_of", "similarity"])
-
-    return run
+def _questions(examples: DataFrame) -> DataFrame:
+    """What the decision needs of every row: at (its place in the order), tokens, and fingerprints q of the question, s of its sources, t of subject, sources and label (null without a subject)."""
+    words = X.question_words("question")
+    subject = F.array_sort(F.array_distinct(F.transform(X.technical_words("question"), F.lower)))
+    rows = examples.select("id", "ord", words.alias("tokens"), F.array_join(words, " ").alias("norm"), signature().alias("signature"), subject.alias("subject"), F.coalesce("category", F.lit("")).alias("category"), F.coalesce("answerable", F.lit("")).alias("answerable"))
+    about = F.when(F.size("subject") > 0, F.xxhash64("signature", F.array_join("subject", "\n"), "category", "answerable"))
+    keyed = rows.select("id", "ord", F.struct("ord", "id").alias("at"), "tokens", F.xxhash64(F.lit("q"), "norm").alias("q"), F.xxhash64(F.lit("s"), "signature").alias("s"), about.alias("t"))
+    return keyed.dropDuplicates(["id", "ord"])
+
+
+def _kept(rows: DataFrame, cfg: DedupConfig) -> DataFrame:
+    """The rows that the first-come decision keeps.
+
+    A row can be kept at once if no undecided row comes before it, neither with its sources nor with its question.
+    All such rows are kept in one round; then the undecided rows that they rule out are dropped: those with their
+    question anywhere, and with their sources those that are alike, have the subject, or find the context full. The
+    first undecided row of all always qualifies, so every round gets on; a set of sources takes part in few of them,
+    because it keeps few rows. Every step is a grouped minimum or a join, no group is collected.
+    """
+    left = rows.withColumn("n", F.lit(0))
+    kept = []
+    for _ in range(MAX_ROUNDS):
+        first = {c: left.groupBy(c).agg(F.min("at").alias(f"first_{c}")) for c in ("s", "q")}
+        new = left.join(first["s"], "s").join(first["q"], "q").where((F.col("at") == F.col("first_s")) & (F.col("at") == F.col("first_q"))).select("id", "ord", "at", "tokens", "q", "s", "t")
+        kept.append(written(new, "questions-kept"))
+        by_source = kept[-1].select("s", F.col("at").alias("k_at"), F.col("tokens").alias("k_tokens"), F.col("t").alias("k_t"))
+        free = F.col("k_at").isNull() | ((X.jaccard(F.col("tokens"), F.col("k_tokens")) < cfg.similarity) & ~F.coalesce(F.col("t") == F.col("k_t"), F.lit(False)) & ((F.col("n") + 1 < cfg.per_context) if cfg.per_context else F.lit(True)))
+        rest = left.join(kept[-1].select("q"), "q", "left_anti").join(by_source, "s", "left").where(free)
+        left = written(rest.select("id", "ord", "at", "tokens", "q", "s", "t", (F.col("n") + F.col("k_at").isNotNull().cast("int")).alias("n")), "questions-left")
+        if left.isEmpty():
+            break
+    else:
+        raise RuntimeError(f"questions were not decided in {MAX_ROUNDS} rounds")
+    out = kept[0]
+    for more in kept[1:]:
+        out = out.union(more)
+    return out
 
 
 def question_dedup(examples: DataFrame, cfg: DedupConfig = DedupConfig()) -> DataFrame:
-    """id, ord, reason (null for kept rows), duplicate_of, similarity: the greedy first-come decision over rows in order of `ord`.
+    """id, ord, reason (null for kept rows), duplicate_of, similarity: the first-come decision over rows in order of (ord, id).
 
     A row is dropped for a question without content, a question kept before anywhere, a question like one kept
     before over the same sources, a subject kept before over the same sources, category and answerability, or a
-    full context. Whether a row falls depends only on earlier rows with its question or its sources, so connected
-    components of the graph of questions and sources are independent: each is decided in one task, and no order
-    over all rows is needed. Only fingerprints of questions and sources enter the graph.
+    full context; the first of these that holds is the reason. Rows of the same id and ord count once.
     """
-    words = X.question_words("question")
-    rows = written(examples.select(
-        "id",
-        "ord",
-        words.alias("tokens"),
-        F.array_join(words, " ").alias("norm"),
-        signature().alias("signature"),
-        F.array_sort(F.array_distinct(F.transform(X.technical_words("question"), F.lower))).alias("subject"),
-        F.concat_ws("|", F.coalesce("category", F.lit("")), F.coalesce("answerable", F.lit(""))).alias("label"),
-    ), "question-rows")
-    hashed = rows.withColumns({"s": F.xxhash64(F.lit("s"), "signature"), "q": F.xxhash64(F.lit("q"), "norm")})
-    # most signatures share no question with another one: only questions under several signatures link components
-    spans = hashed.where("norm <> ''").groupBy("q").agg(F.min("s").alias("low"), F.max("s").alias("high")).where("low <> high").select("q", "low")
-    links = hashed.join(spans, "q").where("s <> low").select(F.col("low").alias("a"), F.col("s").alias("b")).distinct()
-    label = connected_components(links).select(F.col("node").alias("s"), "component")
-    grouped = hashed.join(label, "s", "left").withColumn("component", F.coalesce("component", "s"))
-    schema = "id string, ord long, reason string, duplicate_of string, similarity double"
-    # many small components share a task: the decision keeps them apart by itself
-    tasks_ = max(tasks(examples.sparkSession), rows.count() // ROWS_PER_TASK)
-    return grouped.withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(tasks_))).drop("s", "q", "component").groupBy("bucket").applyInPandas(_greedy(cfg.similarity, cfg.per_context), schema)
+    rows = written(_questions(examples), "question-rows")
+    asked = rows.where(F.size("tokens") > 0)
+    kept = written(_kept(asked, cfg), "questions-decided")
+    dropped = asked.join(kept.select("id", "ord"), ["id", "ord"], "left_anti")
+    same = kept.select("q", F.col("at").alias("e_at"))
+    near = kept.select("s", F.col("at").alias("k_at"), F.col("tokens").alias("k_tokens"), F.col("t").alias("k_t"))
+    like = F.when(F.col("k_at") < F.col("at"), X.jaccard(F.col("tokens"), F.col("k_tokens")))
+    met = dropped.join(same, "q", "left").join(near, "s", "left").withColumn("like", like)
+    told = met.groupBy("id", "ord").agg(
+        F.first(F.when(F.col("e_at") < F.col("at"), F.col("e_at.id"))).alias("exact"),
+        F.min(F.when(F.col("like") >= cfg.similarity, F.col("k_at"))).alias("alike"),
+        F.max("like").alias("most"),
+        F.min(F.when((F.col("t") == F.col("k_t")) & F.col("like").isNotNull(), F.col("k_at"))).alias("subject"),
+    )
+    is_exact, is_like, is_subject = (F.col(c).isNotNull() for c in ("exact", "alike", "subject"))
+    none = F.lit(None).cast("string")
+    reason = F.when(is_exact, REASONS[1]).when(is_like, REASONS[2]).when(is_subject, REASONS[3]).otherwise(REASONS[4])
+    of = F.when(is_exact, F.col("exact")).when(is_like, F.col("alike.id")).when(is_subject, F.col("subject.id"))
+    out = told.select("id", "ord", reason.alias("reason"), of.alias("duplicate_of"), F.when(~is_exact & is_like, F.round("most", 3)).alias("similarity"))
+    blank = rows.where(F.size("tokens") == 0).select("id", "ord", F.lit(REASONS[0]).alias("reason"), none.alias("duplicate_of"), F.lit(None).cast("double").alias("similarity"))
+    return kept.select("id", "ord", none.alias("reason"), none.alias("duplicate_of"), F.lit(None).cast("double").alias("similarity")).union(out).union(blank)
 
 
 def drop_histogram(decided: DataFrame) -> DataFrame:
