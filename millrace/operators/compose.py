@@ -17,10 +17,16 @@ from millrace.session import written
 
 # Headings that say nothing about their section, and categories of answerable questions by weight.
 GENERIC_HEADINGS = ("purpose", "overview", "scope", "runtime", "components", "layers")
-ANSWERABLE_CATEGORIES = "bug_investigation bug_investigation bug_investigation extension_guidance extension_guidance extension_guidance api api how_it_works service dependency architecture database data_flow configuration integration error_handling multi_source".split()
+CATEGORY_WEIGHTS = {
+    "how_it_works": 1, "api": 2, "service": 1, "dependency": 1, "architecture": 1, "database": 1, "data_flow": 1, "configuration": 1,
+    "integration": 1, "error_handling": 1, "bug_investigation": 3, "multi_source": 1, "extension_guidance": 3,
+}
+ANSWERABLE_CATEGORIES = [c for c, weight in CATEGORY_WEIGHTS.items() for _ in range(weight)]
 
-#: Chunks that stand in one cell of the hash order, from which distractors are drawn.
-CELL = 32
+#: Draws per example in the first round of a draw; examples still short draw four times as many in the next one.
+FIRST_DRAWS = 8
+#: Foreign sections that there must be for an example to get distractors at all.
+LEAST_POOL = 4
 
 # Questions that documentation rarely answers: key, question, topic, what would be needed (Italian, English), and probes whose presence means that it might.
 NEGATIVES = {
@@ -84,39 +90,86 @@ def resolve(seeds: DataFrame, index: DataFrame, strict: bool = True) -> DataFram
     return seeds.join(per.select("id", F.transform("c", lambda x: x["chunk"]).alias("context"), "missing"), "id")
 
 
-def _cells(chunks: DataFrame, n: int, seed: int) -> tuple[DataFrame, int]:
-    cells = max(1, n // CELL)
-    return chunks.withColumn("cell", F.floor(uniform(seed, "project", "source", "heading") * cells).cast("int")), cells
+def _next_prime(n: int) -> int:
+    n = max(2, n)
+    while any(n % k == 0 for k in range(2, int(n**0.5) + 1)):
+        n += 1
+    return n
+
+
+def ring(index: DataFrame, seed: int) -> tuple[DataFrame, DataFrame, int]:
+    """Sections with their `rank` from 0 in an order by project, sections of a project in hash order; the projects' first rank and number of sections; and the number of all sections.
+
+    Ranks are counted per project and the projects' sizes summed up, so no task holds all sections.
+    """
+    sizes = index.groupBy("project").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("project").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = written(sizes.withColumn("offset", before), "project-offsets")
+    inside = F.row_number().over(Window.partitionBy("project").orderBy(hash_order(seed, "project", "source", "heading"), "source", "heading")) - 1
+    ranked = index.withColumn("_inside", inside).join(offsets, "project").withColumn("rank", F.col("offset") + F.col("_inside")).drop("_inside", "n", "offset")
+    total = offsets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return written(ranked, "section-ranks"), offsets, total
+
+
+def drawn_from_others(wanted: DataFrame, sections: DataFrame, offsets: DataFrame, total: int, seed: int) -> DataFrame:
+    """For every row of wanted (id, own, own_keys, k): id, pos and section of k sections of other projects without a key of own_keys, or of all there are if they are fewer.
+
+    An example goes through the foreign sections in an order of its own, (start + draw * stride) modulo a prime, which
+    comes to each of them once; numbers beyond the last foreign section are passed over. A draw is an equi-join on
+    the section's rank. Examples that still lack sections go on with four times as many draws, to the end of their
+    order if need be, so nothing is missed, and no example meets more sections than it needs about.
+    """
+    prime = _next_prime(total)
+    place = lambda tag, n: F.floor(uniform(seed, F.lit(tag), "id") * n).cast("long")
+    left = written(
+        wanted.join(offsets.withColumnRenamed("project", "own"), "own", "left").select("id", "own", "own_keys", "k", F.coalesce("offset", F.lit(0)).alias("offset"), F.coalesce("n", F.lit(0)).alias("n"), place("start", prime).alias("start"), (place("stride", prime - 1) + 1).alias("stride"), F.lit(0).alias("have")),
+        "draws-open",
+    )
+    found, done, step = [], 0, FIRST_DRAWS
+    while done < prime and not left.isEmpty():
+        until = min(prime, done + step)
+        each = left.withColumn("draw", F.explode(F.sequence(F.lit(done), F.lit(until - 1)).cast("array<long>")))
+        number = F.pmod(F.col("start") + F.col("draw") * F.col("stride"), F.lit(prime))
+        each = each.withColumn("number", number).where(F.col("number") < F.lit(total) - F.col("n")).withColumn("rank", F.when(F.col("number") < F.col("offset"), F.col("number")).otherwise(F.col("number") + F.col("n")))
+        met = each.join(sections.select("rank", "project", "source", "heading", "content"), "rank").where(~F.array_contains("own_keys", chunk_key()))
+        order = Window.partitionBy("id").orderBy("draw")
+        new = met.withColumn("pos", F.row_number().over(order) + F.col("have")).where(F.col("pos") <= F.col("k")).select("id", "pos", "project", "source", "heading", "content")
+        found.append(written(new, "draws"))
+        more = found[-1].groupBy("id").agg(F.count("*").alias("m"))
+        left = written(left.join(more, "id", "left").withColumn("have", F.col("have") + F.coalesce("m", F.lit(0)).cast("int")).drop("m").where("have < k"), "draws-open")
+        done, step = until, step * 4
+    out = found[0] if found else sections.where("false").select(F.lit("").alias("id"), F.lit(0).alias("pos"), "project", "source", "heading", "content")
+    for more in found[1:]:
+        out = out.union(more)
+    return out
 
 
 def distractors(examples: DataFrame, index: DataFrame, least: int = 3, most: int = 4, seed: int = 43) -> DataFrame:
     """id, pos, and the chunks (project, source, heading, content) drawn as distractors: between least and most per example, from other projects, none with an own chunk's key.
 
-    Chunks lie in cells of a hash order, about CELL to a cell; an example draws one cell and takes its first fitting
-    chunks in an order of its own. No example meets more than one cell, however large the corpus. Eligible are
-    answerable examples with at least four candidates; those with fewer in their cell get what there is.
+    Eligible are answerable examples with at least LEAST_POOL such sections. How many an example gets is drawn by
+    hash; it gets fewer only where LEAST_POOL is below `most` and no more exist.
     """
-    n = index.count()
-    placed, cells = _cells(index.select("project", "source", "heading", "content"), n, seed)
+    sections, offsets, total = ring(index.select("project", "source", "heading", "content"), seed)
     wanted = examples.where("coalesce(answerable, 'full') <> 'none'").select(
         "id",
-        F.col("project").alias("own"),
-        F.transform("context", lambda c: chunk_key(c["source"], c["heading"])).alias("own_keys"),
-        F.floor(uniform(seed, F.lit("cell"), "id") * cells).cast("int").alias("cell"),
-        (F.floor(uniform(seed, F.lit("k"), "id") * (most - least + 1)).cast("int") + least).alias("k"),
+        F.coalesce("project", F.lit("")).alias("own"),
+        F.coalesce(F.transform("context", lambda c: chunk_key(c["source"], c["heading"])), F.array().cast("array<string>")).alias("own_keys"),
+        F.lit(max(most, LEAST_POOL)).alias("k"),
     )
-    met = wanted.join(placed, "cell").where("project <> own").where(~F.array_contains("own_keys", chunk_key()))
-    order = Window.partitionBy("id").orderBy(hash_order(seed, "id", "project", "source", "heading"))
-    return met.withColumn("pos", F.row_number().over(order)).where(F.col("pos") <= F.col("k")).select("id", "pos", "project", "source", "heading", "content")
+    drawn = written(drawn_from_others(wanted, sections, offsets, total, seed), "distractors")
+    eligible = drawn.where(F.col("pos") == LEAST_POOL).select("id")
+    k = F.floor(uniform(seed, F.lit("k"), "id") * (most - least + 1)).cast("int") + least
+    return drawn.where(F.col("pos") <= k).join(eligible, "id", "left_semi")
 
 
 def variants(examples: DataFrame, index: DataFrame, seed: int = 43, suffix: str = "-noise1") -> DataFrame:
-    """Examples with distractors mixed in: new id, context in hash order with own chunks relevant and others not, tag 'distractor', source_count."""
+    """Examples with distractors mixed in: new id, context in hash order with own chunks relevant and others not, tags 'distractor' and 'augmented', source_count."""
     drawn = distractors(examples, index, seed=seed).groupBy("id").agg(F.collect_list(F.struct("source", "heading", "content", F.lit(False).alias("relevant"))).alias("noise"))
     own = F.transform("context", lambda c: F.struct(c["source"].alias("source"), c["heading"].alias("heading"), c["content"].alias("content"), F.coalesce(c["relevant"], F.lit(True)).alias("relevant")))
     eligible = examples.where("coalesce(answerable, 'full') <> 'none'").where(~F.array_contains(F.coalesce("tags", F.array().cast("array<string>")), "distractor"))
     mixed = eligible.join(drawn, "id").withColumn("context", shuffled(F.concat(own, "noise"), seed, F.col("id")))
-    return mixed.withColumns({"id": F.concat("id", F.lit(suffix)), "source_count": F.size("context"), "tags": F.array_sort(F.array_union(F.coalesce("tags", F.array().cast("array<string>")), F.array(F.lit("distractor"))))}).drop("noise")
+    return mixed.withColumns({"id": F.concat("id", F.lit(suffix)), "source_count": F.size("context"), "tags": F.array_sort(F.array_union(F.coalesce("tags", F.array().cast("array<string>")), F.array(F.lit("distractor"), F.lit("augmented"))))}).drop("noise")
 
 
 def shuffled(context: Column, seed: int, key: Column) -> Column:
@@ -137,26 +190,36 @@ def fill(template: Column, **parts: Column) -> Column:
     return template
 
 
-def negatives(index: DataFrame, per_project: int, which: str = "train", seed: int = 44, attempts: int = 8) -> DataFrame:
+def negatives(index: DataFrame, per_project: int, which: str = "train", seed: int = 44, attempts: int = 40) -> DataFrame:
     """Unanswerable examples: per project up to per_project, each over 2 to 4 random sections that are silent on the question.
 
-    Every attempt draws its sections by hash from the project's cells; attempts whose sections mention a probe are
-    rejected; the first per_project survivors count. Two thirds are Italian.
+    Every attempt draws neighbours in the project's hash order; attempts whose sections mention a probe are rejected;
+    the first per_project survivors of per_project * attempts count. Attempts are made in rounds, later ones only for
+    projects that are still short. Two thirds are Italian. shortfall() tells which projects stay short.
     """
     spark = index.sparkSession
     templates = spark.createDataFrame([(i, *t) for i, t in enumerate(NEGATIVES[which])], "t int, key string, q_it string, q_en string, topic_it string, topic_en string, need_it string, need_en string, probes array<string>")
     n = len(NEGATIVES[which])
-    sizes = index.groupBy("project").agg(F.count("*").alias("n"))
-    tries = sizes.select("project", F.greatest(F.lit(1), F.floor(F.col("n") / CELL)).cast("int").alias("cells"), F.explode(F.sequence(F.lit(0), F.lit(per_project * attempts - 1))).alias("attempt"))
-    tries = tries.withColumns({"cell": F.floor(uniform(seed, "project", "attempt", F.lit("cell")) * F.col("cells")).cast("int"), "size": F.floor(uniform(seed, "project", "attempt", F.lit("size")) * 3).cast("int") + 2, "t": F.floor(uniform(seed, "project", "attempt", F.lit("t")) * n).cast("int")})
-    celled = index.join(sizes, "project").withColumn("cell", F.floor(uniform(seed, "project", "source", "heading") * F.greatest(F.lit(1), F.floor(F.col("n") / CELL))).cast("int"))
-    met = tries.join(celled.select("project", "cell", "source", "heading", "content"), ["project", "cell"])
-    order = Window.partitionBy("project", "attempt").orderBy(hash_order(seed, "project", "attempt", "source", "heading"))
-    drawn = met.withColumn("pos", F.row_number().over(order)).where("pos <= size")
-    texts = drawn.groupBy("project", "attempt", "t").agg(F.array_sort(F.collect_list(F.struct("pos", "source", "heading", "content"))).alias("c"))
-    asked = texts.join(F.broadcast(templates), "t").withColumn("hay", X.normalised(F.array_join(F.transform("c", lambda x: F.concat_ws(" ", x["source"], x["heading"], x["content"])), " ")))
-    silent = asked.where(~F.exists("probes", lambda p: F.contains(F.col("hay"), p)))
-    made = silent.withColumn("made", F.row_number().over(Window.partitionBy("project").orderBy("attempt"))).where(F.col("made") <= per_project)
+    sections, offsets, _ = ring(index.select("project", "source", "heading", "content"), seed)
+    short = offsets.withColumn("have", F.lit(0))
+    found, done = [], 0
+    while done < attempts and not short.isEmpty():
+        until = min(attempts, max(4, done * 3))
+        tries = short.withColumn("attempt", F.explode(F.sequence(F.lit(done * per_project), F.lit(until * per_project - 1))))
+        drawn = tries.withColumns({"start": F.floor(uniform(seed, "project", "attempt", F.lit("start")) * F.col("n")).cast("long"), "size": F.floor(uniform(seed, "project", "attempt", F.lit("size")) * 3).cast("long") + 2, "t": F.floor(uniform(seed, "project", "attempt", F.lit("t")) * n).cast("int")})
+        drawn = drawn.withColumn("pos", F.explode(F.sequence(F.lit(1).cast("long"), F.least("size", "n")))).withColumn("rank", F.col("offset") + F.pmod(F.col("start") + F.col("pos"), F.col("n")))
+        met = drawn.join(sections.select("rank", "source", "heading", "content"), "rank")
+        texts = met.groupBy("project", "have", "attempt", "t").agg(F.array_sort(F.collect_list(F.struct("pos", "source", "heading", "content"))).alias("c"))
+        asked = texts.join(F.broadcast(templates), "t").withColumn("hay", X.normalised(F.array_join(F.transform("c", lambda x: F.concat_ws(" ", x["source"], x["heading"], x["content"])), " ")))
+        silent = asked.where(~F.exists("probes", lambda p: F.contains(F.col("hay"), p))).drop("hay", "probes")
+        made = silent.withColumn("made", F.row_number().over(Window.partitionBy("project").orderBy("attempt")) + F.col("have")).where(F.col("made") <= per_project)
+        found.append(written(made.drop("have"), "negatives"))
+        more = found[-1].groupBy("project").agg(F.count("*").alias("m"))
+        short = written(short.join(more, "project", "left").withColumn("have", F.col("have") + F.coalesce("m", F.lit(0)).cast("int")).drop("m").where(F.col("have") < per_project), "projects-short")
+        done = until
+    made = found[0]
+    for more in found[1:]:
+        made = made.union(more)
     first = F.col("c")[0]["heading"]
     subject = F.when(F.lower(first).isin(*GENERIC_HEADINGS), F.col("project")).otherwise(first)
     headings = F.transform("c", lambda x: x["heading"])
@@ -177,6 +240,13 @@ def negatives(index: DataFrame, per_project: int, which: str = "train", seed: in
     )
 
 
+def shortfall(made: DataFrame, index: DataFrame, per_project: int) -> DataFrame:
+    """project, wanted, made, short of every project of the index, for examples made per project."""
+    per = made.groupBy("project").agg(F.count("*").alias("made"))
+    every = index.select("project").distinct().join(per, "project", "left").select("project", F.lit(per_project).cast("long").alias("wanted"), F.coalesce("made", F.lit(0)).cast("long").alias("made"))
+    return every.withColumn("short", F.col("wanted") - F.col("made"))
+
+
 @dataclass(frozen=True)
 class PlanConfig:
     full: float = 0.55
@@ -186,7 +256,8 @@ class PlanConfig:
     batch: int = 5
     sizes: tuple[int, ...] = (2, 3, 4, 5)
     conflict: float = 0.08
-    limit: int = 600
+    #: Calls at most, the first in hash order; None plans one for every section.
+    limit: int | None = None
     seed: int = 7
     distractors: float = 0.35
     least: int = 2
@@ -202,7 +273,7 @@ def slot(u: Column, category: Column, cfg: PlanConfig) -> Column:
 
 
 def plan_bundles(index: DataFrame, cfg: PlanConfig = PlanConfig()) -> DataFrame:
-    """One planned generation call per section: anchor, size (sections wanted), slots, conflict, plan_id; the first `limit` in hash order. draw_bundles draws the sections."""
+    """One planned generation call per section: anchor, size (sections wanted), slots, conflict, plan_id; where `limit` is set, the first in hash order. draw_bundles draws the sections."""
     key = ["project", "source", "heading"]
     u = lambda *tag: uniform(cfg.seed, *key, *map(F.lit, tag))
     slots = F.array(*[slot(u("slot", str(i)), pick(cfg.seed, ANSWERABLE_CATEGORIES, *key, F.lit(f"category{i}")), cfg) for i in range(cfg.batch)])
@@ -211,51 +282,34 @@ def plan_bundles(index: DataFrame, cfg: PlanConfig = PlanConfig()) -> DataFrame:
     first = F.array(F.struct(F.lit("partial").alias("answerable"), F.lit("contradictory_context").alias("category")))
     planned = index.select(*key, size.alias("size"), conflict.alias("conflict"), slots.alias("slots"), hash_order(cfg.seed, *key, F.lit("plan")).alias("h"))
     planned = planned.withColumn("slots", F.when(F.col("conflict"), F.concat(first, F.slice("slots", 2, cfg.batch))).otherwise(F.col("slots")))
-    return planned.withColumn("plan_id", X.stable_id(F.concat(F.lit("b-"), "project"), "source", "heading")).orderBy("h").limit(cfg.limit)
+    planned = planned.withColumn("plan_id", X.stable_id(F.concat(F.lit("b-"), "project"), "source", "heading"))
+    return planned if cfg.limit is None else planned.orderBy("h").limit(cfg.limit)
 
 
-def draw_bundles(index: DataFrame, cfg: PlanConfig = PlanConfig(), cells_met: int = 8) -> DataFrame:
+def draw_bundles(index: DataFrame, cfg: PlanConfig = PlanConfig()) -> DataFrame:
     """The planned calls with their sections: plan_id, project, context (in hash order, with `relevant`), n_relevant, n_distractors, conflict, slots, prompt.
 
     Relevant are the anchor and size - 1 other sections of the project, neighbours in its hash order, or all there
     are. A share cfg.distractors of the calls also gets cfg.least to cfg.most sections of other projects, none with
-    a key that the own project has. They come from `cells_met` cells of the hash order; calls that find too few there
-    draw from the whole index. A call has a conflict only where two relevant sections were drawn.
+    a key of their relevant sections. A call has a conflict only where two relevant sections were drawn.
     """
     key, seed = ["project", "source", "heading"], cfg.seed
     plans = written(plan_bundles(index, cfg).drop("h"), "bundle-plans")
     sections = index.select(*key, "content")
 
-    near = Window.partitionBy("project").orderBy(hash_order(seed, *key, F.lit("rank")), *key[1:])
-    ranked = sections.join(plans.select("project").distinct(), "project", "left_semi").withColumn("rank", F.row_number().over(near) - 1)
-    sizes = ranked.groupBy("project").agg(F.count("*").alias("n"))
-    start = F.floor(uniform(seed, *key, F.lit("start")) * F.col("n")).cast("int")
-    steps = plans.join(sizes, "project").select("plan_id", "project", F.col("source").alias("s"), F.col("heading").alias("h"), "size", "n", start.alias("start"), F.explode(F.sequence(F.lit(0), F.least(F.col("size").cast("long"), F.col("n")).cast("int") - 1)).alias("step"))
-    others = steps.withColumn("rank", F.pmod(F.col("start") + F.col("step"), F.col("n")).cast("int")).join(ranked, ["project", "rank"]).where(~(F.col("source").eqNullSafe(F.col("s")) & F.col("heading").eqNullSafe(F.col("h"))))
+    ranked, offsets, total = ring(sections, seed)
+    start = F.floor(uniform(seed, *key, F.lit("start")) * F.col("n")).cast("long")
+    steps = plans.join(offsets, "project").select("plan_id", "project", F.col("source").alias("s"), F.col("heading").alias("h"), "size", "n", "offset", start.alias("start"), F.explode(F.sequence(F.lit(0).cast("long"), F.least(F.col("size").cast("long"), F.col("n")) - 1)).alias("step"))
+    others = steps.withColumn("rank", F.col("offset") + F.pmod(F.col("start") + F.col("step"), F.col("n"))).join(ranked.drop("project"), "rank").where(~(F.col("source").eqNullSafe(F.col("s")) & F.col("heading").eqNullSafe(F.col("h"))))
     others = others.withColumn("pos", F.row_number().over(Window.partitionBy("plan_id").orderBy("step"))).where("pos < size").select("plan_id", "source", "heading", "content")
-    relevant = plans.select("plan_id", *key).join(sections, key).select("plan_id", "source", "heading", "content").union(others).withColumn("relevant", F.lit(True))
-
-    cells = max(1, index.count() // CELL)
-    placed = sections.withColumn("cell", F.floor(uniform(seed, *key, F.lit("cell")) * cells).cast("int"))
-    wanted = plans.where(uniform(seed, *key, F.lit("noise")) < cfg.distractors).select(
-        "plan_id",
-        F.col("project").alias("own"),
-        (F.floor(uniform(seed, *key, F.lit("k")) * (cfg.most - cfg.least + 1)).cast("int") + cfg.least).alias("k"),
-        F.array_distinct(F.transform(F.sequence(F.lit(0), F.lit(cells_met - 1)), lambda i: F.floor(uniform(seed, "plan_id", F.lit("met"), i) * cells).cast("int"))).alias("cells"),
-    )
-    own_keys = ranked.select(F.col("project").alias("own"), chunk_key().alias("key")).distinct()
-
-    def drawn(met: DataFrame) -> DataFrame:
-        fits = met.where("project <> own").withColumn("key", chunk_key()).join(own_keys, ["own", "key"], "left_anti")
-        order = Window.partitionBy("plan_id").orderBy(hash_order(seed, "plan_id", *key), *key)
-        return fits.withColumn("pos", F.row_number().over(order)).where("pos <= k").select("plan_id", "source", "heading", "content", "k")
+    relevant = written(plans.select("plan_id", *key).join(sections, key).select("plan_id", "source", "heading", "content").union(others).withColumn("relevant", F.lit(True)), "bundle-relevant")
 
-    first = written(drawn(wanted.withColumn("cell", F.explode("cells")).join(placed, "cell")), "bundle-distractors")
-    filled = first.groupBy("plan_id").agg(F.count("*").alias("m"), F.max("k").alias("k")).where("m >= k").select("plan_id")
-    short = wanted.join(filled, "plan_id", "left_anti")
-    noise = first.join(filled, "plan_id", "left_semi").union(drawn(short.crossJoin(sections)))
+    noisy = plans.where(uniform(seed, *key, F.lit("noise")) < cfg.distractors).select("plan_id", "project", (F.floor(uniform(seed, *key, F.lit("k")) * (cfg.most - cfg.least + 1)).cast("int") + cfg.least).alias("k"))
+    own = relevant.groupBy("plan_id").agg(F.collect_list(chunk_key()).alias("own_keys"))
+    wanted = noisy.join(own, "plan_id").select(F.col("plan_id").alias("id"), F.col("project").alias("own"), "own_keys", "k")
+    noise = drawn_from_others(wanted, ranked, offsets, total, seed).select(F.col("id").alias("plan_id"), "source", "heading", "content")
 
-    mixed = relevant.union(noise.drop("k").withColumn("relevant", F.lit(False)))
+    mixed = relevant.union(noise.withColumn("relevant", F.lit(False)))
     per = mixed.groupBy("plan_id").agg(F.collect_list(F.struct("source", "heading", "content", "relevant")).alias("context"))
     n_relevant = F.size(F.filter("context", lambda c: c["relevant"]))
     told = plans.join(per, "plan_id").withColumns({"n_relevant": n_relevant, "n_distractors": F.size("context") - n_relevant, "planned": F.col("conflict"), "context": shuffled(F.col("context"), seed, F.col("plan_id"))})
