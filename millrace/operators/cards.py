@@ -15,6 +15,15 @@ def dataset_card(examples: DataFrame) -> DataFrame:
     return sets.select(facet.alias("facet"), F.coalesce(*facets, F.lit("")).alias("value"), "n")
 
 
+def split_card(placed: DataFrame) -> DataFrame:
+    """split, facet, value, n in one pass: rows per split, and per split and category, answerable, project, origin, teacher where there is one."""
+    facets = [c for c in ("category", "answerable", "project", "origin", "teacher") if c in placed.columns]
+    named = placed.select(F.coalesce("split", F.lit("None")).alias("split"), *[F.coalesce(c, F.lit("unknown" if c in ("origin", "teacher") else "None")).alias(c) for c in facets])
+    sets = named.groupingSets([["split"], *[["split", c] for c in facets]], "split", *facets).agg(F.count("*").alias("n"), *[F.grouping(c).alias(f"g_{c}") for c in facets])
+    facet = F.coalesce(*[F.when(F.col(f"g_{c}") == 0, c) for c in facets], F.lit("all"))
+    return sets.select("split", facet.alias("facet"), F.coalesce(*facets, F.lit("")).alias("value"), "n")
+
+
 def dataset_means(examples: DataFrame) -> DataFrame:
     """One row: rows, mean sources, mean answer length, rows with a chunk marked irrelevant, rows with code."""
     return examples.agg(

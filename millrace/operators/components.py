@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.session import written
+from millrace.session import discard, written
 
 #: A graph of n nodes settles within O(log n) rounds in practice; this many means that something is wrong.
 MAX_ROUNDS = 60
@@ -32,7 +32,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         # small star: every neighbour below the node, and the node, go to the smallest of them
         below = large.groupBy("a").agg(F.min("b").alias("m"))
         moved = large.join(below, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        now = written(moved.union(below.select("a", F.col("m").alias("b"))).distinct(), "components")
+        before, now = now, written(moved.union(below.select("a", F.col("m").alias("b"))).distinct(), "components")
+        discard(before)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b") % F.lit(1 << 40))).first()
         if state == seen:
             break

@@ -75,19 +75,23 @@ def reference(c: Column, project: Column) -> Column:
     )
 
 
+def _resolved(seeds: DataFrame, index: DataFrame, strict: bool) -> DataFrame:
+    """Per id: chunks (array of pos, chunk, by position in `sources`) and missing references."""
+    refs = seeds.select("id", "project", F.posexplode("sources").alias("pos", "text")).select("id", "pos", "text", reference(F.col("text"), F.col("project")).alias("r")).select("id", "pos", "text", "r.*")
+    chunks = index.select("project", X.stripped("source").alias("source"), X.stripped("heading").alias("heading"), F.struct("source", "heading", "content").alias("chunk"))
+    found = refs.join(chunks, ["project", "source", "heading"], "left")
+    if strict:
+        found = found.withColumn("chunk", F.coalesce("chunk", F.raise_error(F.concat(F.lit("no section for "), "text")).cast(found.schema["chunk"].dataType)))
+    return found.groupBy("id").agg(F.array_sort(F.collect_list(F.when(F.col("chunk").isNotNull(), F.struct("pos", "chunk")))).alias("chunks"), F.array_sort(F.collect_list(F.when(F.col("chunk").isNull(), F.col("text")))).alias("missing"))
+
+
 def resolve(seeds: DataFrame, index: DataFrame, strict: bool = True) -> DataFrame:
     """Seeds (id, project, sources) with their chunks as `context`, in the order of the references.
 
     index: one row per (project, source, heading). A reference without a chunk is an error when the query runs, or,
     not strict, listed in `missing`.
     """
-    refs = seeds.select("id", "project", F.posexplode("sources").alias("pos", "text")).select("id", "pos", "text", reference(F.col("text"), F.col("project")).alias("r")).select("id", "pos", "text", "r.*")
-    chunks = index.select("project", X.stripped("source").alias("source"), X.stripped("heading").alias("heading"), F.struct("source", "heading", "content").alias("chunk"))
-    found = refs.join(chunks, ["project", "source", "heading"], "left")
-    if strict:
-        found = found.withColumn("chunk", F.coalesce("chunk", F.raise_error(F.concat(F.lit("no section for "), "text")).cast(found.schema["chunk"].dataType)))
-    per = found.groupBy("id").agg(F.array_sort(F.collect_list(F.when(F.col("chunk").isNotNull(), F.struct("pos", "chunk")))).alias("c"), F.array_sort(F.collect_list(F.when(F.col("chunk").isNull(), F.col("text")))).alias("missing"))
-    return seeds.join(per.select("id", F.transform("c", lambda x: x["chunk"]).alias("context"), "missing"), "id")
+    return seeds.join(_resolved(seeds, index, strict).select("id", F.transform("chunks", lambda x: x["chunk"]).alias("context"), "missing"), "id")
 
 
 def _next_prime(n: int) -> int:
@@ -163,9 +167,37 @@ def distractors(examples: DataFrame, index: DataFrame, least: int = 3, most: int
     return drawn.where(F.col("pos") <= k).join(eligible, "id", "left_semi")
 
 
-def variants(examples: DataFrame, index: DataFrame, seed: int = 43, suffix: str = "-noise1") -> DataFrame:
+def seed_examples(seeds: DataFrame, index: DataFrame, seed: int = 42, strict: bool = True) -> DataFrame:
+    """Examples of seeds (id, project, question, answer, category, difficulty, answerable, sources, distractors, must_include, tags).
+
+    Both lists of references are resolved as in resolve(), chunks of sources marked relevant and the others not, in
+    hash order; answerable is full where not given; tags get 'seed', and 'distractor' where there are any.
+    """
+    none = F.array().cast("array<string>")
+    filled = seeds.withColumns({c: F.coalesce(c, none) if c in seeds.columns else none for c in ("sources", "distractors", "must_include", "must_not_include", "tags")})
+    both = filled.withColumns({"n_sources": F.size("sources"), "sources": F.concat("sources", "distractors")})
+    found = both.join(_resolved(both, index, strict), "id")
+    marked = F.transform("chunks", lambda c: F.struct(c["chunk"]["source"].alias("source"), c["chunk"]["heading"].alias("heading"), c["chunk"]["content"].alias("content"), (c["pos"] < F.col("n_sources")).alias("relevant")))
+    gold = F.transform(F.filter("chunks", lambda c: c["pos"] < F.col("n_sources")), lambda c: F.concat(c["chunk"]["source"], F.lit("#"), c["chunk"]["heading"]))
+    return found.select(
+        "id", "project", "question", "answer", "category", "difficulty", "must_include", "must_not_include", "missing",
+        F.coalesce("answerable", F.lit("full")).alias("answerable"),
+        shuffled(marked, seed, F.col("id")).alias("context"),
+        gold.alias("relevant_sources"),
+        F.concat("tags", F.array(F.lit("seed")), F.when(F.size("distractors") > 0, F.array(F.lit("distractor"))).otherwise(none)).alias("tags"),
+        F.lit("seed").alias("origin"),
+    )
+
+
+def single_plans(index: DataFrame, least: int = 1, most: int = 4, sizes: tuple[int, ...] = (2, 3, 4, 5), noise: float = 0.35, unanswerable: float = 0.25, seed: int = 7) -> DataFrame:
+    """One call per section for one question each: as draw_bundles, with least to most distractors and a flag whether to ask an unanswerable question."""
+    drawn = draw_bundles(index, PlanConfig(sizes=sizes, distractors=noise, least=least, most=most, conflict=0.0, seed=seed, batch=1))
+    return drawn.select("plan_id", "project", "context", "n_relevant", "n_distractors", (uniform(seed, "plan_id", F.lit("unanswerable")) < unanswerable).alias("ask_unanswerable"))
+
+
+def variants(examples: DataFrame, index: DataFrame, seed: int = 43, suffix: str = "-noise1", least: int = 3, most: int = 4) -> DataFrame:
     """Examples with distractors mixed in: new id, context in hash order with own chunks relevant and others not, tags 'distractor' and 'augmented', source_count."""
-    drawn = distractors(examples, index, seed=seed).groupBy("id").agg(F.collect_list(F.struct("source", "heading", "content", F.lit(False).alias("relevant"))).alias("noise"))
+    drawn = distractors(examples, index, least, most, seed).groupBy("id").agg(F.collect_list(F.struct("source", "heading", "content", F.lit(False).alias("relevant"))).alias("noise"))
     own = F.transform("context", lambda c: F.struct(c["source"].alias("source"), c["heading"].alias("heading"), c["content"].alias("content"), F.coalesce(c["relevant"], F.lit(True)).alias("relevant")))
     eligible = examples.where("coalesce(answerable, 'full') <> 'none'").where(~F.array_contains(F.coalesce("tags", F.array().cast("array<string>")), "distractor"))
     mixed = eligible.join(drawn, "id").withColumn("context", shuffled(F.concat(own, "noise"), seed, F.col("id")))

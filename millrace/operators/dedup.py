@@ -27,10 +27,10 @@ def signature(context: str = "context") -> Column:
     return F.array_join(F.array_sort(F.array_distinct(F.transform(context, key))), "\n")
 
 
-def exact_dedup(examples: DataFrame, order: str = "ord") -> DataFrame:
-    """Keeps the first row, in `order`, of every (question, answer, sources), case and outer white space aside."""
+def exact_dedup(examples: DataFrame, *order: str) -> DataFrame:
+    """Keeps the first row, in `order` (`ord` where none is given), of every (question, answer, sources), case and outer white space aside."""
     same = [F.lower(X.stripped("question")), F.lower(X.stripped("answer")), signature()]
-    return examples.withColumn("_n", F.row_number().over(Window.partitionBy(F.sha2(F.concat_ws("\u0001", *same), 256)).orderBy(order))).where("_n = 1").drop("_n")
+    return examples.withColumn("_n", F.row_number().over(Window.partitionBy(F.sha2(F.concat_ws("\u0001", *same), 256)).orderBy(*(order or ("ord",))))).where("_n = 1").drop("_n")
 
 
 def keep_first(rows: DataFrame, key: list[Column | str], order: list[Column | str]) -> DataFrame:

@@ -94,7 +94,7 @@ def parse_context(context: Column, style: Column) -> Column:
 
 
 def import_chats(records: DataFrame, patches: DataFrame) -> DataFrame:
-    """Chat records (id, message, answer, style, traits) as examples, with `error` where one can't be converted.
+    """Chat records (id, message, answer, style, domain, traits) as examples, with `error` where one can't be converted.
 
     patches: id, answer; a patch replaces the answer. References [Dn] in answers become citations of the chunk;
     unknown ones are an error.
@@ -121,6 +121,11 @@ def import_chats(records: DataFrame, patches: DataFrame) -> DataFrame:
         F.when(error.isNull(), cited).alias("answer"),
         category.alias("category"),
         F.when(gap, "partial").otherwise("full").alias("answerable"),
+        F.lit("medium").alias("difficulty"),
+        (F.concat(F.lit("rag-"), F.coalesce("domain", F.lit(""))) if "domain" in records.columns else F.lit(None).cast("string")).alias("project"),
+        F.array_sort(F.transform(F.filter("chunks", lambda c: F.contains(cited, F.concat(F.lit("["), c["source"], F.lit(" — "), heading(c), F.lit("]")))), lambda c: F.concat(c["source"], F.lit("#"), heading(c)))).alias("relevant_sources"),
+        F.concat(F.array(F.lit("structured-layout")), traits).alias("tags"),
+        F.lit("structured_response").alias("origin"),
         error.alias("error"),
     )
 

@@ -37,8 +37,8 @@ def unmatched_predictions(examples: DataFrame, predictions: DataFrame) -> DataFr
     return predictions.select("id").distinct().join(examples.select("id"), "id", "left_anti")
 
 
-def score(rows: DataFrame, cfg: ScoreConfig = ScoreConfig()) -> DataFrame:
-    """One row of metrics per example with a `prediction`. No shuffle. Null predictions are empty."""
+def score(rows: DataFrame, cfg: ScoreConfig = ScoreConfig(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row of metrics per example with a `prediction`, and the columns named in keep. No shuffle. Null predictions are empty."""
     empty = F.array().cast("array<string>")
     col = F.col
     gold = rows.withColumns({c: F.coalesce(c, empty) for c in ("tags", "must_not_include", "must_include", "facts")})
@@ -77,6 +77,7 @@ def score(rows: DataFrame, cfg: ScoreConfig = ScoreConfig()) -> DataFrame:
     as_text = lambda c: F.concat(c["source"], F.lit(" — "), c["heading"])
     r4 = lambda c: F.round(c, 4)
     out = df.select(
+        *keep,
         "id",
         "project",
         "category",

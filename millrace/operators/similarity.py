@@ -14,20 +14,23 @@ def token_sets(rows: DataFrame, text: str, id_col: str = "id") -> DataFrame:
     return rows.select(F.col(id_col).alias("id"), F.array_distinct(F.transform(X.content_words(text), lambda w: F.xxhash64(w))).alias("tokens"))
 
 
-def _prefixes(sets: DataFrame, threshold: float) -> DataFrame:
-    """The first size - ceil(threshold * size) + 1 tokens of every set. Any fixed order of tokens serves; the order of their hashes needs no count."""
-    need = F.size("tokens") - F.ceil(F.lit(threshold) * F.size("tokens") - F.lit(1e-9)).cast("int") + 1
-    return sets.where(F.size("tokens") > 0).select("id", F.size("tokens").alias("n"), F.posexplode(F.slice(F.array_sort("tokens"), F.lit(1), need)).alias("place", "token"))
+def _prefixes(sets: DataFrame, counts: DataFrame, threshold: float) -> DataFrame:
+    """The first size - ceil(threshold * size) + 1 tokens of every set, rarest first by the exact counts of all sets."""
+    n = F.size("tokens")
+    need = n - F.ceil(F.lit(threshold) * n - F.lit(1e-9)).cast("int") + 1
+    each = sets.where(n > 0).select("id", n.alias("n"), need.alias("need"), F.explode("tokens").alias("token")).join(counts, "token")
+    ordered = each.groupBy("id", "n", "need").agg(F.array_sort(F.collect_list(F.struct("times", "token"))).alias("t"))
+    return ordered.select("id", "n", F.posexplode(F.slice("t", F.lit(1), F.col("need"))).alias("place", "x")).select("id", "n", "place", F.col("x.token").alias("token"))
 
 
 def similar_to(rows: DataFrame, reference: DataFrame, threshold: float = 0.9) -> DataFrame:
     """id, other, similarity: all pairs of a row and a reference row whose sets have Jaccard >= threshold.
 
-    Both sides: id, tokens. Rare tokens come first in neither order, so stop-words are left out beforehand; sizes
-    and places prune the meeting, and the exact value is computed for the pairs that are left. Empty sets match
-    nothing.
+    Both sides: id, tokens. Sets meet on the rare tokens of their prefixes; sizes and places prune the meeting, and
+    the exact value is computed for the pairs that are left. Empty sets match nothing.
     """
-    x, y = _prefixes(rows, threshold).alias("x"), _prefixes(reference, threshold).alias("y")
+    counts = written(rows.select(F.explode("tokens").alias("token")).union(reference.select(F.explode("tokens"))).groupBy("token").agg(F.count("*").alias("times")), "token-counts")
+    x, y = _prefixes(rows, counts, threshold).alias("x"), _prefixes(reference, counts, threshold).alias("y")
     col = F.col
     room = F.least(col("x.n") - col("x.place"), col("y.n") - col("y.place"))
     need = F.ceil(F.lit(threshold / (1 + threshold)) * (col("x.n") + col("y.n")) - F.lit(1e-9))

@@ -35,18 +35,20 @@ def group_key(mode: str) -> Column:
     return F.coalesce(given, F.lit("unknown"))
 
 
-def prefix_until(sizes: DataFrame, n: str, target: float, order: list) -> DataFrame:
-    """Rows of a small table of sizes, in order, as long as what came before stays under the target."""
-    before = F.coalesce(F.sum(n).over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return sizes.withColumn("_before", before).where(F.col("_before") < target).drop("_before")
+def prefix_until(sizes: DataFrame, n: str, target: float, order: list[str]) -> DataFrame:
+    """Rows of a table of sizes, in order, as long as what came before stays under the target. Ranges of the order are summed up and accumulated, then rows inside each range, so no task holds all rows."""
+    ranged = written(sizes.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()), "size-ranges")
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    sums = ranged.groupBy("_p").agg(F.sum(n).alias("_m")).withColumn("_base", F.coalesce(F.sum("_m").over(earlier.orderBy("_p")), F.lit(0))).where(F.col("_base") < target).select("_p", "_base")
+    before = F.col("_base") + F.coalesce(F.sum(n).over(earlier.partitionBy("_p").orderBy(*order)), F.lit(0))
+    return ranged.join(F.broadcast(sums), "_p").withColumn("_before", before).where(F.col("_before") < target).drop("_before", "_base", "_p")
 
 
 def hold_out_groups(sizes: DataFrame, target: float) -> DataFrame:
     """Names of the smallest groups (name, n) that together reach the target; none if that were all of them."""
-    taken = prefix_until(sizes, "n", target, ["n", "name"])
-    every = sizes.agg(F.count("*").alias("all_groups"))
-    counted = taken.withColumn("_k", F.count("*").over(Window.partitionBy(F.lit(1))))
-    return counted.join(F.broadcast(every), F.col("_k") < F.col("all_groups")).select("name")
+    taken = prefix_until(sizes, "n", target, ["n", "name"]).select("name")
+    counts = taken.agg(F.count("*").alias("k")).crossJoin(sizes.agg(F.count("*").alias("every")))
+    return taken.join(F.broadcast(counts.where("k < every")), how="cross").select("name")
 
 
 def cut_families(families: DataFrame, target: float, seed: int, steps: int = 4096) -> DataFrame:

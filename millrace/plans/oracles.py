@@ -7,7 +7,8 @@ and tested on its own. Look-behind doesn't exist in this dialect; patterns carry
 from __future__ import annotations
 
 from millrace.functions import vocabulary as V
-from millrace.operators.compose import ANSWERABLE_CATEGORIES, CELL
+from millrace.operators.compose import ANSWERABLE_CATEGORIES, LEAST_POOL
+from millrace.operators.ledger import QUOTA, TAIL
 
 
 def _list(values) -> str:
@@ -138,10 +139,12 @@ def _gate() -> str:
     return f"WITH {EX}, {KEYED}, {_facts()}, issue AS (SELECT * FROM ({rows}) WHERE n > 0)"
 
 
+_FIRST = "CASE WHEN regexp_extract(answer, '(?s)^(.{59,}?[.!?])\\s', 1) <> '' AND (regexp_extract(answer, '(?s)^(.{60,}?)\\n', 1) = '' OR length(regexp_extract(answer, '(?s)^(.{59,}?[.!?])\\s', 1)) <= length(regexp_extract(answer, '(?s)^(.{60,}?)\\n', 1))) THEN regexp_extract(answer, '(?s)^(.{59,}?[.!?])\\s', 1) WHEN regexp_extract(answer, '(?s)^(.{60,}?)\\n', 1) <> '' THEN regexp_extract(answer, '(?s)^(.{60,}?)\\n', 1) ELSE answer END"
+
+
 def _scored(prediction: str) -> str:
     """CTE s: the scorer's rows for a prediction."""
     none_cited = "CASE WHEN refuses THEN 1.0 ELSE 0.0 END"
-    first = f"CASE WHEN regexp_extract(answer, '(?s)^(.{{59,}}?[.!?])\\s', 1) <> '' AND (regexp_extract(answer, '(?s)^(.{{60,}}?)\\n', 1) = '' OR length(regexp_extract(answer, '(?s)^(.{{59,}}?[.!?])\\s', 1)) <= length(regexp_extract(answer, '(?s)^(.{{60,}}?)\\n', 1))) THEN regexp_extract(answer, '(?s)^(.{{59,}}?[.!?])\\s', 1) WHEN regexp_extract(answer, '(?s)^(.{{60,}}?)\\n', 1) <> '' THEN regexp_extract(answer, '(?s)^(.{{60,}}?)\\n', 1) ELSE answer END"
     return f"""WITH {EX}, {KEYED}, {_facts(_strip(prediction))},
 h AS (SELECT *, coalesce(answerable, 'full') AS label, CASE WHEN len(must_include) > 0 THEN must_include ELSE facts END AS key_facts, {_content('gold_answer')} AS gold_words,
  list_distinct(list_filter(cite_keys, lambda c: list_contains(context_keys, c))) AS resolved, list_distinct(cite_keys) AS cited,
@@ -149,7 +152,7 @@ h AS (SELECT *, coalesce(answerable, 'full') AS label, CASE WHEN len(must_includ
  list_filter(unresolved, lambda c: list_contains(context_sources, split_part(c, '#', 1))) AS misattributed,
  list_filter(must_not_include, lambda t: contains(answer_norm, {_norm('t')})) AS forbidden,
  len(list_filter(string_split_regex(answer, '\\s+'), lambda t: t <> '')) AS words, greatest(len(list_filter(string_split_regex(gold_answer, '\\s+'), lambda t: t <> '')), 1) AS ref_words,
- substr({first}, 1, 400) AS opening FROM g),
+ substr({_FIRST}, 1, 400) AS opening FROM g),
 i AS (SELECT *, {_f1('answer_words', 'gold_words')} AS f1, {_recall('answer_norm', 'key_facts')} AS recall, len(key_facts) > 0 AS has_facts, len(list_intersect(resolved, gold_keys)) AS gold_cited,
  CASE WHEN len(cited) > 0 THEN len(resolved) / len(cited)::DOUBLE ELSE {none_cited} END AS prec, words / ref_words::DOUBLE AS ratio FROM h),
 j AS (SELECT *, coalesce(gold_cited / nullif(len(gold_keys), 0)::DOUBLE, 1.0) AS grec, refuses AND NOT (has_facts AND recall >= 0.5) AND ({_any(_norm('opening'), V.REFUSALS)} OR len(resolved) = 0) AS wholesale FROM i),
@@ -201,13 +204,24 @@ def _bundles() -> str:
     slot = lambda k: f"CASE WHEN {u('slot', k)} < 0.2 THEN 'none:unanswerable' WHEN {u('slot', k)} < 0.35 THEN 'partial:partially_answerable' WHEN {u('slot', k)} < 0.45 THEN 'full:contradictory_context' ELSE 'full:' || {_list(ANSWERABLE_CATEGORIES)}[cast(floor({u(f'category{k}')} * {n}) AS INT) + 1] END"
     return f"""WITH {INDEX}, b AS (SELECT project, source, heading, [2, 3, 4, 5][cast(floor({u('size')} * 4) AS INT) + 1] AS size, {u('conflict')} < 0.08 AS conflict,
  [{', '.join(slot(k) for k in range(5))}] AS slots, md5('7|' || {key} || '|plan') AS h, 'b-' || project || '-' || substr(sha1(source || '||' || heading), 1, 10) AS plan_id FROM ix),
-p AS (SELECT * REPLACE (CASE WHEN conflict THEN list_concat(['partial:contradictory_context'], slots[2:]) ELSE slots END AS slots) FROM b ORDER BY h LIMIT 600)"""
+p AS (SELECT * REPLACE (CASE WHEN conflict THEN list_concat(['partial:contradictory_context'], slots[2:]) ELSE slots END AS slots) FROM b)"""
+
+
+def _drawn(seed: str, least: int, most: int) -> str:
+    """CTE drawn: the distractors of every example, by going through its whole order of foreign sections."""
+    return f"""WITH {EX}, {INDEX}, sz AS (SELECT project, count(*) AS n FROM ix GROUP BY project), offs AS (SELECT project, n, coalesce(sum(n) OVER (ORDER BY project ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS o FROM sz),
+rk AS (SELECT ix.project, source, heading, o + row_number() OVER (PARTITION BY ix.project ORDER BY md5('{seed}|' || ix.project || '|' || source || '|' || heading), source, heading) - 1 AS rank FROM ix JOIN offs ON offs.project = ix.project),
+prime AS (SELECT min(p) AS p, (SELECT count(*) FROM ix) AS total FROM range((SELECT greatest(2, count(*)) FROM ix), (SELECT greatest(2, count(*)) + 2000 FROM ix)) t(p) WHERE len(list_filter(range(2, cast(floor(sqrt(p)) AS BIGINT) + 1), lambda d: p % d = 0)) = 0),
+w AS (SELECT id, coalesce(o, 0) AS o, coalesce(n, 0) AS n, list_transform(context, lambda x: trim(x.source) || '#' || trim(x.heading)) AS own_keys, cast(floor({_U(f"'{seed}|start|' || id")} * p) AS BIGINT) AS start, cast(floor({_U(f"'{seed}|stride|' || id")} * (p - 1)) AS BIGINT) + 1 AS stride,
+ cast(floor({_U(f"'{seed}|k|' || id")} * {most - least + 1}) AS INT) + {least} AS k, p, total FROM ex CROSS JOIN prime LEFT JOIN offs USING (project) WHERE coalesce(answerable, 'full') <> 'none'),
+dr AS (SELECT w.*, draw, (start + draw * stride) % p AS number FROM w, range((SELECT p FROM prime)) r(draw)),
+hit AS (SELECT dr.id, dr.k, rk.project, rk.source, rk.heading, row_number() OVER (PARTITION BY dr.id ORDER BY draw) AS pos FROM dr JOIN rk ON rk.rank = CASE WHEN number < o THEN number ELSE number + n END WHERE number < total - n AND NOT list_contains(own_keys, trim(source) || '#' || trim(heading))),
+drawn AS (SELECT * FROM hit WHERE pos <= k AND id IN (SELECT id FROM hit WHERE pos = {LEAST_POOL}))"""
 
 
 def oracle_sql() -> dict[str, str]:
     ex, keyed = f"WITH {EX}", f"WITH {EX}, {KEYED}"
     members = f"WITH {EX}, {MEMBERS}"
-    cells = f"greatest(1, (SELECT count(*) FROM ix) // {CELL})"
     half = _scored(_HALF)
     tp, fn, fp, tn = (f"count(*) FILTER ({'' if a else 'NOT '}(answerable IN ('full', 'partial')) AND {'' if r else 'NOT '}wholesale_refusal)" for a, r in ((1, 0), (1, 1), (0, 0), (0, 1)))
     return {
@@ -216,6 +230,8 @@ def oracle_sql() -> dict[str, str]:
         "identifiers": f"{ex} SELECT id, {_flat(_identifiers('answer'))} AS identifiers, {_flat(_technical('answer'))} AS technical FROM ex",
         "citations": f"{ex} SELECT id, unnest(range(len(s)))::INT AS pos, unnest(s) AS source, unnest(h) AS heading FROM (SELECT id, list_transform(regexp_extract_all(answer, '{_CITE}', 1), lambda x: trim(x)) AS s, list_transform(regexp_extract_all(answer, '{_CITE}', 2), lambda x: trim(x)) AS h FROM ex)",
         "refusal_flags": f"{ex} SELECT id, {_any(_norm('answer'), V.REFUSALS)} AS declines, {_any(_norm('answer'), V.CONFLICTS)} AS names_conflict FROM ex",
+        "opening_sentences": f"{ex}, o AS (SELECT id, substr({_FIRST}, 1, 400) AS opening FROM ex) SELECT id, opening, {_any(_norm('opening'), V.REFUSALS)} AS opens_with_refusal FROM o",
+        "suite_headline": f"{half}, {MEMBERS}, m AS (SELECT id, min(split) AS suite FROM members GROUP BY id) SELECT suite, {', '.join(f'round(sum(round({c} * 10000)::BIGINT) / nullif(count({c}), 0)::DOUBLE) / 10000 AS {c}' for c in ('answer_correctness', 'groundedness', 'citation_f1', 'relevant_source_usage', 'conciseness'))}, round(avg(refusal_correct::INT), 4) AS refusal_correct_rate, round(avg(hallucinated::INT), 4) AS hallucinated_rate FROM s JOIN m USING (id) GROUP BY suite",
         "grounding": f"{keyed}, {_facts()} SELECT id, round(lexical_share, 4) AS lexical_share, round(technical_share, 4) AS technical_share, array_to_string(unsupported, '|') AS unsupported FROM g",
         "pair_scores": f"{ex}, w AS (SELECT *, {_content('question')} AS qw, {_content('answer')} AS aw FROM ex) SELECT id, round(CASE WHEN len(qw) > 0 AND len(aw) > 0 THEN len(list_intersect(qw, aw)) / len(list_distinct(list_concat(qw, aw)))::DOUBLE ELSE 0.0 END, 4) AS jaccard, round({_f1('qw', 'aw')}, 4) AS token_f1, round({_recall(_norm('answer'), 'must_include')}, 4) AS recall FROM w",
         "stable_ids": f"{ex} SELECT id, 'gen-' || project || '-' || substr(sha1(question || '||' || answer), 1, 10) AS stable_id, substr(sha256(answer), 1, 16) AS answer_hash, {_FAMILY} AS family, source_count, contains_code FROM ex",
@@ -239,7 +255,7 @@ SELECT *, true_positive + false_negative AS n_answerable, false_positive + true_
         "base_against_tuned": _compare(),
         "prediction_join": f"WITH {EX}, {RESPONSES}, p AS (SELECT request_id, unnest(TRY_CAST(json_extract(TRY_CAST(regexp_extract(response, '(?s)(\\{{.*\\}})', 1) AS JSON), '$.examples') AS VARCHAR[])) AS id FROM rc WHERE response IS NOT NULL) SELECT ex.id, max(request_id)::VARCHAR AS prediction FROM p JOIN ex USING (id) GROUP BY ex.id",
         "unmatched_predictions": "SELECT DISTINCT id FROM split_members WHERE id NOT IN (SELECT id FROM examples WHERE id IS NOT NULL)",
-        "exact_duplicates": f"SELECT count(*) AS n_kept FROM (SELECT DISTINCT lower({_strip('question')}), lower({_strip('answer')}), list_sort(list_distinct(list_transform(coalesce(context, []), lambda c: trim(c.source) || '#' || trim(c.heading)))) FROM examples WHERE id IS NOT NULL)",
+        "exact_duplicates": f"SELECT id FROM examples WHERE id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY lower({_strip('question')}), lower({_strip('answer')}), list_sort(list_distinct(list_transform(coalesce(context, []), lambda c: trim(c.source) || '#' || trim(c.heading)))) ORDER BY created_at NULLS FIRST, id) = 1",
         "near_duplicate_drop": f"""{members}, p AS (SELECT id, list_distinct({_content('question')}) AS w, split FROM ex JOIN members USING (id)), e AS (SELECT id, len(w) AS n, unnest(w) AS t FROM p WHERE split <> 'train'), r AS (SELECT id, len(w) AS n, unnest(w) AS t FROM p WHERE split = 'train'),
 hit AS (SELECT DISTINCT e.id FROM e JOIN r USING (t) GROUP BY e.id, r.id, e.n, r.n HAVING count(*) >= 0.9 * (e.n + r.n - count(*)) - 1e-9) SELECT id FROM p WHERE split <> 'train' AND id NOT IN (SELECT id FROM hit)""",
         "group_holdout": f"{ex}, z AS (SELECT {_GROUP} AS name, count(*) AS n FROM ex GROUP BY 1), c AS (SELECT *, coalesce(sum(n) OVER (ORDER BY n, name ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM z), k AS (SELECT name FROM c WHERE before < 0.1 * (SELECT count(*) FROM ex)) SELECT name FROM k WHERE (SELECT count(*) FROM k) < (SELECT count(*) FROM z)",
@@ -255,14 +271,21 @@ hit AS (SELECT DISTINCT e.id FROM e JOIN r USING (t) GROUP BY e.id, r.id, e.n, r
         "resolved_seeds": f"""WITH {EX}, {INDEX}, r AS (SELECT id, project, unnest(relevant_sources) AS t FROM ex WHERE list_contains(tags, 'seed')),
 k AS (SELECT id, t, CASE WHEN contains(split_part(t, '#', 1), ':') THEN trim(split_part(t, ':', 1)) ELSE project END AS project, trim(CASE WHEN contains(split_part(t, '#', 1), ':') THEN substr(split_part(t, '#', 1), instr(t, ':') + 1) ELSE split_part(t, '#', 1) END) AS source, trim(substr(t, instr(t, '#') + 1)) AS heading FROM r)
 SELECT k.id, count(ix.chunk_id)::INT AS n_found, coalesce(string_agg(CASE WHEN ix.chunk_id IS NULL THEN t END, '|' ORDER BY t), '') AS missing FROM k LEFT JOIN ix ON k.project = ix.project AND k.source = trim(ix.source) AND k.heading = trim(ix.heading) GROUP BY k.id""",
-        "distractor_sample": f"""WITH {EX}, {INDEX}, c AS (SELECT *, cast(floor({_U("'43|' || project || '|' || source || '|' || heading")} * {cells}) AS INT) AS cell FROM ix),
-w AS (SELECT id, project AS own, list_transform(context, lambda x: trim(x.source) || '#' || trim(x.heading)) AS keys, cast(floor({_U("'43|cell|' || id")} * {cells}) AS INT) AS cell, cast(floor({_U("'43|k|' || id")} * 2) AS INT) + 3 AS k FROM ex WHERE coalesce(answerable, 'full') <> 'none'),
-m AS (SELECT w.id, w.k, c.project, c.source, c.heading, row_number() OVER (PARTITION BY w.id ORDER BY md5('43|' || w.id || '|' || c.project || '|' || c.source || '|' || c.heading)) AS pos FROM w JOIN c USING (cell) WHERE c.project <> w.own AND NOT list_contains(w.keys, trim(c.source) || '#' || trim(c.heading)))
-SELECT id, pos::INT AS pos, project, source, heading FROM m WHERE pos <= k""",
+        "distractor_sample": f"{_drawn('43', 3, 4)} SELECT id, pos::INT AS pos, project, source, heading FROM drawn",
+        "noise_variants": f"""{_drawn('43', 3, 4)}, k AS (SELECT id, unnest(list_transform(context, lambda c: trim(c.source) || '#' || trim(c.heading))) AS key FROM ex UNION ALL SELECT id, trim(source) || '#' || trim(heading) FROM drawn)
+SELECT ex.id || '-noise1' AS id, count(*)::INT AS source_count, any_value(array_to_string(list_sort(list_distinct(list_concat(tags, ['distractor', 'augmented']))), '|')) AS tags, string_agg(key, '|' ORDER BY md5('43|' || ex.id || '|' || key)) AS keys
+FROM ex JOIN k USING (id) WHERE ex.id IN (SELECT id FROM drawn) AND NOT list_contains(tags, 'distractor') GROUP BY ex.id""",
+        "noise_benchmark": f"""{_drawn('101', 4, 4)}, {MEMBERS}, held AS (SELECT DISTINCT project FROM ex JOIN members USING (id) WHERE split = 'test')
+SELECT 'noise-' || id AS id, project, (4 + len(list_filter(context, lambda c: c.relevant IS NOT DISTINCT FROM false)))::INT AS n_irrelevant, array_to_string(list_sort(list_distinct(list_concat(list_filter(tags, lambda t: t NOT IN ('distractor', 'augmented')), ['benchmark', 'retrieval_noise', CASE WHEN project IN (SELECT project FROM held) THEN 'heldout' ELSE 'in_domain' END]))), '|') AS tags
+FROM ex WHERE list_contains(tags, 'seed') AND NOT list_contains(tags, 'distractor') AND id IN (SELECT id FROM drawn)""",
         "planned_bundles": f"{_bundles()} SELECT plan_id, project, size, conflict, array_to_string(slots, '|') AS slots, md5('Write 5 question and answer pairs from the blocks below, in this mix:' || chr(10) || array_to_string(list_transform(slots, lambda s, i: i || '. answerable=' || split_part(s, ':', 1) || ', category=' || split_part(s, ':', 2)), chr(10)) || CASE WHEN conflict THEN chr(10) || 'Two blocks disagree: one pair must name the conflict and cite both.' ELSE '' END) AS instruction_md5 FROM p",
         "planned_mix": f"{_bundles()} SELECT split_part(s, ':', 1) AS answerable, count(*) AS n FROM (SELECT unnest(slots) AS s FROM p) GROUP BY 1",
         "stratified_sample": f"{ex}, b AS (SELECT id, CASE WHEN coalesce(answerable, 'full') = 'none' THEN 'none' WHEN answerable = 'partial' THEN 'partial' WHEN list_has_any(tags, ['distractor', 'contradiction']) THEN 'noisy' ELSE 'full' END AS bucket FROM ex) SELECT id, bucket FROM b QUALIFY row_number() OVER (PARTITION BY bucket ORDER BY md5('42|' || id), id) <= CASE bucket WHEN 'full' THEN 50 WHEN 'partial' THEN 25 WHEN 'none' THEN 15 ELSE 10 END",
         "shuffled_positions": f"{ex} SELECT id, md5('42|' || id) AS position, round({_U("'42|' || id")}, 9) AS u FROM ex",
+        "quota_signals": f"WITH {RESPONSES} SELECT request_id, {_any(f'right(lower(coalesce(response, {chr(39) * 2})), {TAIL})', QUOTA)} AS quota FROM rc",
+        "run_counters": f"""WITH {RESPONSES}, l AS (SELECT bundle, arg_max({{'s': status, 'n': n_items}}, (received_at, request_id)) AS v FROM rc WHERE bundle IS NOT NULL GROUP BY bundle), u AS (SELECT v.s AS s, v.n AS n FROM l)
+SELECT count(*) AS planned, count(*) FILTER (s = 'ok') AS done, count(*) FILTER (s = 'ok') AS calls, 0::BIGINT AS hits, coalesce(sum(n), 0)::BIGINT AS accepted, 0::BIGINT AS rejected, count(*) FILTER (s IS NOT NULL AND s <> 'ok' AND s <> 'quota') AS failures, count(*) FILTER (s = 'quota') AS stopped, count(*) FILTER (s IS NULL OR s <> 'ok') AS left FROM u""",
+        "audit_structs": f"WITH {RESPONSES} SELECT request_id, 'stored' AS teacher_provider, teacher AS teacher_model, prompt_version::VARCHAR AS prompt_version, cache_key AS teacher_request_hash, status = 'ok' AS from_cache FROM rc",
         "cache_lookup": "WITH u AS (SELECT DISTINCT cache_key FROM response_cache), h AS (SELECT DISTINCT cache_key FROM response_cache WHERE response IS NOT NULL AND status = 'ok' AND json_valid(response)) SELECT cache_key IN (SELECT cache_key FROM h) AS hit, count(*) AS n FROM u GROUP BY 1",
         "pending_units": "SELECT DISTINCT bundle FROM response_cache WHERE bundle IS NOT NULL AND bundle NOT IN (SELECT bundle FROM response_cache WHERE status = 'ok' AND bundle IS NOT NULL)",
         "run_report": f"WITH {RESPONSES} SELECT project, teacher, count(*) AS requests, count(*) FILTER (status = 'ok') AS succeeded, count(*) FILTER (status = 'parse_failed') AS parse_failed, count(*) FILTER (status = 'timeout') AS timed_out, count(*) FILTER (status IS NULL) AS unknown, sum(CASE WHEN status = 'ok' THEN n_items ELSE 0 END)::BIGINT AS items, round(coalesce(avg(n_items) FILTER (status = 'ok'), 0), 4) AS items_per_success, round(count(*) FILTER (status = 'ok') / count(*)::DOUBLE, 4) AS hit_rate FROM rc GROUP BY project, teacher",
@@ -271,6 +294,14 @@ SELECT id, pos::INT AS pos, project, source, heading FROM m WHERE pos <= k""",
         "request_keys": f"WITH {RESPONSES} SELECT request_id, sha256('{{\"bundle\":' || coalesce('\"' || bundle || '\"', 'null') || ',\"project\":\"' || project || '\",\"version\":' || coalesce('\"' || prompt_version || '\"', 'null') || '}}') AS key FROM rc",
         "dataset_card": f"""{members}, d AS (SELECT coalesce(category, 'None') AS category, coalesce(answerable, 'None') AS answerable, project, coalesce(origin, 'unknown') AS origin, coalesce(m.split, 'None') AS split FROM ex LEFT JOIN (SELECT id, min(split) AS split FROM members GROUP BY id) m USING (id))
 SELECT 'all' AS facet, '' AS value, count(*) AS n FROM d """ + " ".join(f"UNION ALL SELECT '{c}', {c}, count(*) FROM d GROUP BY {c}" for c in ("category", "answerable", "project", "origin", "split")),
+        "split_card": f"""{members}, d AS (SELECT m.split, coalesce(category, 'None') AS category, coalesce(answerable, 'None') AS answerable, project, coalesce(origin, 'unknown') AS origin, coalesce(t.teacher, 'unknown') AS teacher FROM ex JOIN (SELECT id, min(split) AS split FROM members GROUP BY id) m USING (id) JOIN (SELECT id, teacher_metadata.teacher_model AS teacher FROM examples WHERE id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY id ORDER BY created_at DESC NULLS LAST) = 1) t USING (id))
+SELECT split, 'all' AS facet, '' AS value, count(*) AS n FROM d GROUP BY split """ + " ".join(f"UNION ALL SELECT split, '{c}', {c}, count(*) FROM d GROUP BY split, {c}" for c in ("category", "answerable", "project", "origin", "teacher")),
+        "project_labels": """WITH f AS (SELECT doc_id, list_filter(string_split(regexp_extract(coalesce(relative_path, ''), '^(.*)/[^/]*$', 1), '/'), lambda p: p <> '') AS parts FROM documents)
+SELECT doc_id, replace(coalesce(CASE WHEN lower(parts[-1]) IN ('docs', 'doc', 'documentation', 'wiki') AND len(parts) > 1 THEN parts[-2] ELSE parts[-1] END, ''), ' ', '-') AS label FROM f""",
+        "seed_examples": f"""WITH {EX}, {INDEX}, r AS (SELECT id, project, unnest(range(len(relevant_sources))) AS pos, unnest(relevant_sources) AS t FROM ex WHERE list_contains(tags, 'seed')),
+k AS (SELECT id, pos, CASE WHEN contains(split_part(t, '#', 1), ':') THEN trim(split_part(t, ':', 1)) ELSE project END AS project, trim(CASE WHEN contains(split_part(t, '#', 1), ':') THEN substr(split_part(t, '#', 1), instr(t, ':') + 1) ELSE split_part(t, '#', 1) END) AS source, trim(substr(t, instr(t, '#') + 1)) AS heading FROM r),
+f AS (SELECT k.id, pos, ix.source || '#' || ix.heading AS key FROM k JOIN ix ON k.project = ix.project AND k.source = trim(ix.source) AND k.heading = trim(ix.heading))
+SELECT k.id, any_value(coalesce(ex.answerable, 'full')) AS answerable, coalesce(any_value(g.gold), '') AS gold, coalesce(any_value(g.keys), '') AS keys, 'seed' AS tags FROM k JOIN ex USING (id) LEFT JOIN (SELECT id, string_agg(key, '|' ORDER BY pos) AS gold, string_agg(key, '|' ORDER BY md5('42|' || id || '|' || key)) AS keys FROM f GROUP BY id) g USING (id) GROUP BY k.id""",
         "dataset_means": f"{ex} SELECT count(*) AS n, round(avg(source_count), 2) AS mean_sources, round(avg(length(answer)), 2) AS mean_answer_chars, count(*) FILTER (len(list_filter(context, lambda c: c.relevant IS NOT DISTINCT FROM false)) > 0) AS with_distractors, count(*) FILTER (contains_code) AS with_code FROM ex",
         "answer_token_stats": f"{ex}, t AS (SELECT len(list_filter(string_split_regex(answer, '\\s+'), lambda t: t <> '')) AS n FROM ex) SELECT max(n)::INT AS longest, round(avg(n), 1) AS mean, sum(n)::BIGINT AS total FROM t",
         "review_status": f"{members}, d AS (SELECT ex.id, bool_or(split = 'train') AS approved FROM ex LEFT JOIN members USING (id) GROUP BY ex.id) SELECT count(*) FILTER (approved) AS approved, count(*) FILTER (NOT approved) AS rejected, count(*) FILTER (approved IS NULL) AS open FROM d",

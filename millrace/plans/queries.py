@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from millrace.functions import text as X
 from millrace.functions.hashing import hash_order, uniform
-from millrace.operators import cards, chunking, compose, dedup, ledger, parsing, prompting, score, similarity, split
+from millrace.operators import build, cards, chunking, compose, dedup, evaluation, ledger, parsing, prompting, score, similarity, split
 from millrace.operators.examples import keyed, project_name, shaped, value
 from millrace.operators.gate import facts, gate, gate_batch, issue_histogram, listed_issues
 from millrace.operators.gate import verdict as gate_verdict_of
+from millrace.sources.files import project_label
 from millrace.streaming.resume import status_by_window
 
 _all: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -218,6 +219,14 @@ def prediction_join(spark, d):
     return score.join_predictions(_examples(spark, d), items).select("id", "prediction")
 
 
+@_query
+def suite_headline(spark, d):
+    """The headline metrics of three suites, the splits of the examples."""
+    members = _t(spark, d, "split_members").groupBy("id").agg(F.min(value("split")).alias("suite"))
+    rows = _predicted(spark, d, "half").join(members, "id")
+    return evaluation.headline(evaluation.suite_summaries(evaluation.evaluate(rows.drop("prediction"), rows.select("suite", "id", "prediction", F.lit(1).alias("ord")))))
+
+
 @_query
 def unmatched_predictions(spark, d):
     known = _t(spark, d, "split_members").select("id", F.col("split").alias("prediction"))
@@ -229,8 +238,7 @@ def unmatched_predictions(spark, d):
 
 @_query
 def exact_duplicates(spark, d):
-    kept = dedup.exact_dedup(_ordered(spark, d).where("id is not null"), "created_at")
-    return kept.agg(F.count("*").alias("n_kept"))
+    return dedup.exact_dedup(_ordered(spark, d).where("id is not null"), "created_at", "id").select("id")
 
 
 @_query
@@ -349,6 +357,51 @@ def negative_examples(spark, d):
     return compose.negatives(_index(spark, d), 5).select("id", "project", "question", "answer", F.size("context").alias("n_sections"))
 
 
+@_query
+def negative_shortfall(spark, d):
+    """Projects whose sections speak of too much for the unanswerable questions wanted."""
+    index = _index(spark, d)
+    return compose.shortfall(compose.negatives(index, 5), index, 5)
+
+
+@_query
+def noise_benchmark(spark, d):
+    """Seeds with exactly four sections of other projects; projects with a test row are held out."""
+    test = _t(spark, d, "split_members").where(value("split") == "test").select("id").distinct()
+    held = _examples(spark, d).join(test, "id").select("project").distinct()
+    seeds = _examples(spark, d).where("array_contains(tags, 'seed')")
+    made = build.noise_benchmark(seeds, _index(spark, d), held)
+    return made.select("id", "project", F.size(F.filter("context", lambda c: ~c["relevant"])).alias("n_irrelevant"), F.array_join("tags", "|").alias("tags"))
+
+
+@_query
+def unanswerable_benchmark(spark, d):
+    return build.unanswerable_benchmark(_index(spark, d), 120)[0].select("id", "project", "question", F.size("context").alias("n_sections"))
+
+
+@_query
+def seed_examples(spark, d):
+    seeds = _examples(spark, d).where("array_contains(tags, 'seed')").drop("tags").withColumn("sources", F.col("relevant_sources"))
+    made = compose.seed_examples(seeds, _index(spark, d), strict=False)
+    return made.select("id", "answerable", F.array_join("relevant_sources", "|").alias("gold"), F.array_join(F.transform("context", lambda c: compose.chunk_key(c["source"], c["heading"])), "|").alias("keys"), F.array_join("tags", "|").alias("tags"))
+
+
+@_query
+def single_plans(spark, d):
+    keys = F.array_join(F.transform("context", lambda c: compose.chunk_key(c["source"], c["heading"])), "|")
+    return compose.single_plans(_index(spark, d)).select("plan_id", "project", "n_relevant", "n_distractors", "ask_unanswerable", keys.alias("keys"))
+
+
+@_query
+def built_dataset(spark, d):
+    """The stored seeds with variants and negatives, gated and split."""
+    seeds = _examples(spark, d).where("array_contains(tags, 'seed')").drop("tags").withColumn("sources", F.col("relevant_sources"))
+    index = _index(spark, d)
+    known = compose.resolve(seeds, index, strict=False).where(F.size("missing") == 0).select("id")
+    placed, _ = build.build_dataset(seeds.join(known, "id", "left_semi"), index)
+    return placed.groupBy("split", "origin").agg(F.count("*").alias("n"))
+
+
 @_query
 def planned_bundles(spark, d):
     return compose.plan_bundles(_index(spark, d)).select("plan_id", "project", "size", "conflict", F.array_join(F.transform("slots", lambda s: F.concat(s["answerable"], F.lit(":"), s["category"])), "|").alias("slots"), F.md5(prompting.batch_instruction(F.col("slots"), F.lit(False), F.col("conflict"))).alias("instruction_md5"))
@@ -396,6 +449,28 @@ def fenced_items(spark, d):
     return parsing.items_to_examples(parsed).select("origin_id", "id", "answerable", "category", "rejected", F.size("relevant_sources").alias("n_sources"))
 
 
+@_query
+def quota_signals(spark, d):
+    df = _responses(spark, d)
+    return df.select("request_id", ledger.quota_signal(F.col("response")).alias("quota"))
+
+
+@_query
+def run_counters(spark, d):
+    """Counters of a run whose units are the bundles and whose ledger is the response cache."""
+    rows = _responses(spark, d).where("bundle is not null")
+    last = rows.groupBy(F.col("bundle").alias("unit")).agg(F.max_by(F.struct("status", "n_items"), F.struct("received_at", "request_id")).alias("v"))
+    state = last.select("unit", "v.status", F.col("v.n_items").cast("long").alias("accepted"), F.lit(0).cast("long").alias("rejected"), F.lit(False).alias("from_cache"))
+    return ledger.run_counters(rows.select(F.col("bundle").alias("unit")), state)
+
+
+@_query
+def audit_structs(spark, d):
+    df = _responses(spark, d)
+    a = ledger.audit(F.lit("stored"), F.col("teacher"), F.col("prompt_version"), F.col("created_at"), F.col("cache_key"), F.col("status") == "ok")
+    return df.select("request_id", a.alias("a")).select("request_id", "a.teacher_provider", "a.teacher_model", "a.prompt_version", "a.teacher_request_hash", "a.from_cache")
+
+
 @_query
 def cache_lookup(spark, d):
     requests = _t(spark, d, "response_cache").select("cache_key").distinct()
@@ -443,6 +518,19 @@ def dataset_card(spark, d):
     return cards.dataset_card(_examples(spark, d).join(members, "id", "left"))
 
 
+@_query
+def split_card(spark, d):
+    members = _t(spark, d, "split_members").groupBy("id").agg(F.min(value("split")).alias("split"))
+    rows = _examples(spark, d).join(members, "id").withColumn("teacher", F.col("teacher_metadata.teacher_model"))
+    return cards.split_card(rows)
+
+
+@_query
+def project_labels(spark, d):
+    folder = F.regexp_extract(F.coalesce("relative_path", F.lit("")), "^(.*)/[^/]*$", 1)
+    return _t(spark, d, "documents").select("doc_id", project_label(folder).alias("label"))
+
+
 @_query
 def dataset_means(spark, d):
     return cards.dataset_means(_examples(spark, d))

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import dataclasses
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -38,21 +39,34 @@ vendor site-packages .mypy_cache .ruff_cache .tox bower_components .gradle
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Non-blank lines with file name and line number, for JSON Lines that must be traceable. One file is one task: a file's lines are numbered in it."""
-    files = spark.read.text(path, wholetext=True).select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n")).alias("i", "line"))
-    return files.select("file", (F.col("i") + 1).cast("long").alias("ord"), "line").where(F.trim("line") != "")
+    """Non-blank lines with file name and line number. Files are split among tasks: lines are numbered within a task's part of a file, and the parts' counts, a row each, are summed up."""
+    raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("part"), F.monotonically_increasing_id().alias("i"), F.col("value").alias("line"))
+    parts = raw.groupBy("file", "part").agg(F.min("i").alias("low"), F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("file").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = parts.withColumn("before", before).drop("n")
+    return raw.join(F.broadcast(offsets), ["file", "part"]).select("file", (F.col("before") + F.col("i") - F.col("low") + 1).alias("ord"), "line").where(F.trim("line") != "")
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = EXAMPLE, strict: bool = True) -> DataFrame:
-    """Rows of JSON Lines with `file` and `ord`. A line that isn't an object is an error that names its place, or, not strict, is left out."""
-    lines = read_lines(spark, path).withColumn("r", F.from_json("line", schema)).withColumn("bad", F.try_parse_json("line").isNull() | ~F.ltrim("line").startswith("{"))
+def _parsed(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
+    return read_lines(spark, path).withColumn("r", F.from_json("line", schema)).withColumn("bad", F.try_parse_json("line").isNull() | ~F.ltrim("line").startswith("{"))
+
+
+def read_jsonl(spark: SparkSession, path: str, schema: T.StructType | str = EXAMPLE, strict: bool = True) -> DataFrame:
+    """Rows of JSON Lines with `file` and `ord`. A line that isn't an object is an error that names its place, or, not strict, is left out; read_report counts those."""
+    lines = _parsed(spark, path, schema)
     if strict:
         place = F.concat(F.lit("bad JSON at "), "file", F.lit(":"), F.col("ord").cast("string"))
-        checked = F.when(F.col("bad"), F.raise_error(place).cast(schema)).otherwise(F.col("r"))
+        checked = F.when(F.col("bad"), F.raise_error(place).cast(lines.schema["r"].dataType)).otherwise(F.col("r"))
         return lines.select("file", "ord", checked.alias("r")).select("file", "ord", "r.*")
     return lines.where(~F.col("bad")).select("file", "ord", "r.*")
 
 
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """Per file: lines, lines that aren't objects, and objects that aren't valid examples."""
+    rows = _parsed(spark, path, EXAMPLE).select("file", "bad", "r.*").withColumn("invalid", ~F.col("bad") & ~valid_example())
+    return rows.groupBy("file").agg(F.count("*").alias("n_lines"), F.count_if("bad").alias("n_bad"), F.count_if("invalid").alias("n_invalid"))
+
+
 def valid_example():
     """Predicate of a row that is a usable example: texts not empty, at least one chunk with source, heading and content, known values."""
     full = lambda c: F.coalesce(F.length(F.trim(c)), F.lit(0)) > 0
@@ -103,6 +117,88 @@ def read_seeds(spark: SparkSession, folder: str) -> DataFrame:
     return spark.createDataFrame(rows, "id string, project string, question string, answer string, category string, difficulty string, answerable string, sources array<string>, distractors array<string>, tags array<string>, must_include array<string>, heldout boolean, file string, ord long")
 
 
+def read_config(path: str, kind: type):
+    """A settings dataclass from a YAML file; values that aren't given keep their defaults, unknown names and wrong kinds are errors."""
+    import yaml
+
+    given = yaml.safe_load(Path(path).read_text(encoding="utf-8")) or {}
+    known = {f.name: f for f in dataclasses.fields(kind)}
+    if extra := sorted(given.keys() - known.keys()):
+        raise ValueError(f"unknown settings in {path}: {', '.join(extra)}")
+    values = {}
+    for name, value in given.items():
+        default = getattr(kind(), name)
+        if isinstance(default, tuple):
+            value = tuple(value)
+        if default is not None and not isinstance(value, type(default)) and not (isinstance(default, float) and isinstance(value, int)):
+            raise ValueError(f"{name} in {path} must be {type(default).__name__}")
+        values[name] = value
+    return kind(**values)
+
+
+def resolve_path(path: str, root: str = ".") -> Path:
+    """A path as it stands where it is absolute, else under the root."""
+    return Path(path) if Path(path).is_absolute() else Path(root) / path
+
+
+def project_label(folder: Column) -> Column:
+    """A project's name from its folder: the last part, or the one above where the last only says that it holds documentation; blanks become dashes."""
+    parts = F.filter(F.split(F.coalesce(folder, F.lit("")), "/"), lambda p: p != "")
+    last, above = F.try_element_at(parts, F.lit(-1)), F.try_element_at(parts, F.lit(-2))
+    generic = F.lower(last).isin("docs", "doc", "documentation", "wiki")
+    return F.replace(F.coalesce(F.when(generic & above.isNotNull(), above).otherwise(last), F.lit("")), F.lit(" "), F.lit("-"))
+
+
+def read_chats(spark: SparkSession, path: str) -> DataFrame:
+    """id, message, answer, style, domain, traits of chat records (JSON Lines with messages and meta), as import_chats takes them."""
+    rows = read_jsonl(spark, path, "messages array<struct<role:string,content:string>>, meta struct<id:string,lang:string,domain:string,context_style:string,n_chunks:int,traits:array<string>>")
+    turn = lambda k: F.try_element_at("messages", F.lit(k))["content"]
+    return rows.select("meta.id", turn(2).alias("message"), turn(3).alias("answer"), F.col("meta.context_style").alias("style"), "meta.domain", "meta.traits")
+
+
+def read_patches(spark: SparkSession, path: str) -> DataFrame:
+    """id, answer of a patch file (JSON with examples)."""
+    raw = spark.read.text(path, wholetext=True).select(F.from_json("value", "examples array<struct<id:string,answer:string>>").alias("r"))
+    return raw.select(F.inline("r.examples"))
+
+
+def read_context(spark: SparkSession, spec: str) -> DataFrame:
+    """Chunks (source, heading, content) that a context specification names: a folder of Markdown files, one Markdown file, the first row of JSON Lines, or JSON with a list of chunks or an object with `context`."""
+    from millrace.operators.chunking import chunk_files
+
+    path = Path(spec)
+    chunk = "array<struct<source:string,heading:string,content:string>>"
+    if not path.exists():
+        raise FileNotFoundError(f"context not found: {spec}")
+    if path.is_dir() or path.suffix == ".md":
+        found = read_docs(spark, str(path if path.is_dir() else path.parent)).where(F.lower("relative_path").endswith(".md"))
+        found = found if path.is_dir() else found.where(F.element_at(F.split("relative_path", "/"), -1) == path.name).where(~F.contains("relative_path", F.lit("/")))
+        return chunk_files(found).select("source", "heading", "content")
+    if path.suffix == ".jsonl":
+        first = read_jsonl(spark, spec, f"context {chunk}").orderBy("file", "ord").limit(1)
+        return first.select(F.inline("context"))
+    if path.suffix == ".json":
+        raw = spark.read.text(spec, wholetext=True).select(F.ltrim("value").alias("v"))
+        listed = F.when(F.col("v").startswith("["), F.from_json("v", chunk)).otherwise(F.from_json("v", f"context {chunk}")["context"])
+        return raw.select(F.inline(listed))
+    raise ValueError(f"unsupported context file: {path.suffix}")
+
+
+def stage_corpus(spark: SparkSession, roots: list[str], least: int, folder: str) -> DataFrame:
+    """Copies the documentation of every root with at least `least` sections to folder/files (project, relative_path, text) and returns, and writes to folder/manifest, a row per project: files, sections, whether it was staged, and in the last row (null project) the totals of the staged ones."""
+    from millrace.operators.chunking import chunk_files
+
+    docs = union_sources(*[read_docs(spark, r).withColumn("project", project_label(F.lit(str(Path(r).resolve())))) for r in roots]).drop("source_rank")
+    docs = written(docs.where("text is not null"), "corpus")
+    per = docs.groupBy("project").agg(F.count("*").alias("n_files")).join(chunk_files(docs).groupBy("project").agg(F.count("*").alias("n_sections")), "project", "left")
+    per = written(per.select("project", "n_files", F.coalesce("n_sections", F.lit(0)).cast("long").alias("n_sections")).withColumn("staged", F.col("n_sections") >= least), "corpus-projects")
+    docs.join(per.where("staged").select("project"), "project", "left_semi").write.mode("overwrite").partitionBy("project").parquet(f"{folder}/files")
+    totals = per.where("staged").agg(F.lit(None).cast("string").alias("project"), F.coalesce(F.sum("n_files"), F.lit(0)).alias("n_files"), F.coalesce(F.sum("n_sections"), F.lit(0)).alias("n_sections"), F.lit(True).alias("staged"))
+    out = per.unionByName(totals)
+    out.write.mode("overwrite").json(f"{folder}/manifest")
+    return out
+
+
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
     """Distinct ids, one per line; no file, no ids."""
     if "://" not in path and not Path(path).exists():
