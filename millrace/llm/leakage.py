@@ -1,9 +1,9 @@
 """Problem 8: evaluation texts inside training text, found by size-partitioned MinHash containment search.
 
 Both sides are cut into partitions of one size, windows of `run` words, each a set of shingles of `shingle` words.
-A window inside a document has containment 1 or it isn't there, so the smallest shingle hash of an item's window
-equals the smallest of the document's window. Documents and items that have a minimum in common are candidates, and
-none is missed; only the distinct minima, 8 bytes each, are joined. Candidates are verified by exact containment:
+A window inside a document has containment 1 or it isn't there, so the smallest shingle hashes of an item's window
+equal those of the document's window. Documents and items that have a signature in common are candidates, and
+none is missed; only the distinct signatures, 8 bytes each, are joined. Candidates are verified by exact containment:
 the item's windows are looked up, word for word, among the document's.
 """
 
@@ -23,6 +23,8 @@ from millrace.llm.canonical import Forms, canonical_text
 from millrace.session import written
 
 _words = re.compile(r"[^\W_]+")
+#: Hash functions of a window's signature. One makes a candidate of every document that shares a phrase of `shingle` words at the right place; more make false candidates rare, and signatures more.
+FUNCTIONS = 3
 #: Distinct words whose hashes a task keeps.
 WORD_MEMO = 500_000
 
@@ -41,37 +43,40 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def window_minima(numbers: np.ndarray, run: int, shingle: int) -> np.ndarray:
-    """The smallest shingle hash of every window of `run` words, in order of the windows' first words."""
+def window_signatures(numbers: np.ndarray, run: int, shingle: int, functions: int = FUNCTIONS) -> np.ndarray:
+    """The MinHash signature of every window of `run` words, in order of the windows' first words: the smallest shingle hash under each of `functions` hash functions, mixed into one number."""
     n = len(numbers) - run + 1
     if n <= 0:
         return np.zeros(0, dtype=np.uint64)
-    h = np.zeros(len(numbers) - shingle + 1, dtype=np.uint64)
+    base = np.zeros(len(numbers) - shingle + 1, dtype=np.uint64)
     for k in range(shingle):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + numbers[k : k + len(h)]
-    h, left, width = _mix(h), run - shingle + 1, 1
-    while width < left:  # minima of doubling width
-        step = min(width, left - width)
-        h = np.minimum(h[: len(h) - step], h[step:])
-        width += step
-    return h[:n]
+        base = base * np.uint64(0x9E3779B97F4A7C15) + numbers[k : k + len(base)]
+    out = np.zeros(n, dtype=np.uint64)
+    for f in range(functions):
+        h, left, width = _mix(base + np.uint64(f * 0xD6E8FEB86659FD93 % (1 << 64))), run - shingle + 1, 1
+        while width < left:  # minima of doubling width
+            step = min(width, left - width)
+            h = np.minimum(h[: len(h) - step], h[step:])
+            width += step
+        out = _mix(out) + h[:n]
+    return out
 
 
 def _texts(rows: DataFrame, id_col: str, text: str, name: str) -> DataFrame:
     return rows.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias(name), F.coalesce(F.col(text), F.lit("")).alias("t"))
 
 
-def _minima(rows: DataFrame, name: str, run: int, shingle: int) -> DataFrame:
-    """The distinct minima of every text: name, minimum."""
+def _signatures(rows: DataFrame, name: str, run: int, shingle: int) -> DataFrame:
+    """The distinct signatures of every text: name, signature."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forms, memo = Forms(), {}
         for batch in batches:
-            found = [np.unique(window_minima(_word_numbers(_words.findall(canonical_text(t, forms)), memo), run, shingle)).view(np.int64) for t in batch.column("t").to_pylist()]
+            found = [np.unique(window_signatures(_word_numbers(_words.findall(canonical_text(t, forms)), memo), run, shingle)).view(np.int64) for t in batch.column("t").to_pylist()]
             ends = np.cumsum([0, *map(len, found)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([batch.column(name), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))], names=[name, "minima"])
+            yield pa.RecordBatch.from_arrays([batch.column(name), pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *found])))], names=[name, "signatures"])
 
-    return rows.mapInArrow(cut, f"{name} long, minima array<long>").select(name, F.explode("minima").alias("minimum"))
+    return rows.mapInArrow(cut, f"{name} long, signatures array<long>").select(name, F.explode("signatures").alias("signature"))
 
 
 def _windows(words: list[str], run: int) -> set[str]:
@@ -104,8 +109,8 @@ def leaked_items(documents: DataFrame, items: DataFrame, run: int = 12, shingle:
     the pair that shares most), empty tables give no rows.
     """
     asked, searched = _texts(items, item_id, item_text, "item_id").distinct(), _texts(documents, id_col, text, "doc_id")
-    known = written(_minima(asked, "item_id", run, shingle), "item-minima")
-    candidates = written(_minima(searched, "doc_id", run, shingle).join(known, "minimum").select("doc_id", "item_id").distinct(), "leak-candidates")
+    known = written(_signatures(asked, "item_id", run, shingle), "item-signatures")
+    candidates = written(_signatures(searched, "doc_id", run, shingle).join(known, "signature").select("doc_id", "item_id").distinct(), "leak-candidates")
     pairs = candidates.join(asked.withColumnRenamed("t", "it"), "item_id").join(searched, "doc_id").select("doc_id", "t", "item_id", "it")
     hits = pairs.mapInPandas(lambda frames: _verified(frames, run), "doc_id long, item_id long, n_windows long, n_all long")
     most = hits.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_windows", "n_all")).alias("m"))

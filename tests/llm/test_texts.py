@@ -8,7 +8,7 @@ import pytest
 
 from millrace.llm import broken_pairs as B
 from millrace.llm.canonical import Forms, Lookalikes, canonicalise, lookalike_members, lookalike_pairs
-from millrace.llm.leakage import leaked_items, leaked_report, window_minima
+from millrace.llm.leakage import leaked_items, leaked_report, window_signatures
 from millrace.llm.packing import fill_report, pack, read_vocabulary, sum_of_squares, token_counter, token_counts
 from millrace.llm.splitting import IMBALANCE, PIECE, cut_costs, split_oversized, split_text
 
@@ -123,12 +123,15 @@ def test_leaks_equal_brute_force(spark):
     assert leaked_items(docs(spark, []), it).count() == 0 and leaked_items(docs(spark, rows), it.limit(0)).count() == 0
 
 
-def test_window_minima_are_minima():
+def test_equal_windows_have_equal_signatures():
     x = np.random.default_rng(0).integers(0, 2**63, 50).astype(np.uint64)
-    one = window_minima(x, 5, 5)
-    assert len(one) == 46
-    assert np.array_equal(window_minima(x, 12, 5), np.array([one[k : k + 8].min() for k in range(39)]))
-    assert len(window_minima(x[:11], 12, 5)) == 0
+    for functions in (1, 3):
+        whole = window_signatures(x, 12, 5, functions)
+        assert len(whole) == 39 and len(np.unique(whole)) > 1
+        assert all(window_signatures(x[k : k + 12], 12, 5, functions)[0] == whole[k] for k in range(39))
+    one = window_signatures(x, 5, 5, 1)  # windows of one shingle: its hash
+    assert np.array_equal(window_signatures(x, 12, 5, 1), np.array([one[k : k + 8].min() for k in range(39)]))
+    assert len(window_signatures(x[:11], 12, 5)) == 0
 
 
 # splitting
