@@ -297,9 +297,13 @@ def spoilt(pairs: list[tuple[str | None, str | None]], declined: list[str | None
     return out
 
 
-def _sample(rows: DataFrame, n: int) -> list[tuple[str | None, str | None]]:
-    """Question and answer of the first n ids in hash order."""
-    return [(r.question, r.answer) for r in rows.orderBy(F.xxhash64("id", F.lit(3)), "id").limit(n).select("question", "answer").collect()]
+def _sample(rows: DataFrame, n: int, total: int) -> list[tuple[str | None, str | None]]:
+    """Question and answer of about the first n of `total` rows in hash order; no more than these reach the driver, however many tasks there are."""
+    if not total:
+        return []
+    place = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 40))
+    found = rows.withColumn("place", place).where(F.col("place") < F.lit(int(min(1.0, n / total) * (1 << 40)))).select("place", "id", "question", "answer").collect()
+    return [(r.question, r.answer) for r in sorted(found, key=lambda r: (r.place, r.id, r.question or "", r.answer or ""))]
 
 
 def pair_defects(examples: DataFrame, cutoff: float | None = None, fit_rows: int = FIT_ROWS, validation_rows: int = VALIDATION_ROWS) -> DataFrame:
@@ -312,8 +316,10 @@ def pair_defects(examples: DataFrame, cutoff: float | None = None, fit_rows: int
     and their spoilt copies; fit_rows rows of each label fit the model of declining answers.
     """
     rows = examples.where("id is not null").select("id", "question", "answer", label_key("answerable").alias("label"))
-    declined = [a for _, a in _sample(rows.where("label = 'none' and answer is not null"), fit_rows)]
-    given = _sample(rows.where("label = 'full' and answer is not null"), fit_rows)
+    answered = rows.where("answer is not null")
+    n_none, n_full = answered.agg(F.count_if(F.col("label") == "none"), F.count_if(F.col("label") == "full")).first()
+    declined = [a for _, a in _sample(answered.where("label = 'none'"), fit_rows, n_none)]
+    given = _sample(answered.where("label = 'full'"), fit_rows, n_full)
     odds = fit_declining(declined, [a for _, a in given]) if declined and given else {}
     shared = examples.sparkSession.sparkContext.broadcast(odds)
 
