@@ -152,6 +152,15 @@ SELECT DISTINCT id_a, id_b FROM common WHERE c >= 0.8 * (na + nb - c) - 1e-9 {ke
 
 def oracle_sql() -> dict[str, str]:
     cat, ans, split, project = (_KEY.format(c) for c in ("category", "answerable", "split", "project"))
+    words5, words6 = (_WORDS.format(c) for c in ("coalesce(question, '') || ' ' || coalesce(answer, '')", "coalesce(question, '')"))
+    # words, classes (one word set, named by its smallest id), links between classes, and what can be reached over links
+    classes = f"""s AS (SELECT id, list_sort(min({words5})) AS words FROM examples WHERE id IS NOT NULL GROUP BY id), k AS (SELECT words, min(id) AS rep, count(*) AS m FROM s GROUP BY words),
+w AS (SELECT rep, len(words) AS n, unnest(words) AS word FROM k), c AS (SELECT a.rep AS x, b.rep AS y, a.n AS na, b.n AS nb, count(*) AS c FROM w a JOIN w b ON a.word = b.word AND a.rep < b.rep GROUP BY ALL),
+l AS (SELECT x, y, c / (na + nb - c)::DOUBLE AS likeness FROM c WHERE c >= 0.8 * (na + nb - c) - 1e-9)"""
+    sides = f"""m AS (SELECT DISTINCT id, {split} AS split FROM split_members WHERE id IS NOT NULL), s AS (SELECT id, min({words6}) AS words, min(array_to_string(regexp_extract_all(lower(coalesce(question, '')), '[\\p{{L}}\\p{{N}}]+'), ' ')) AS record, min({project}) AS project FROM examples WHERE id IS NOT NULL GROUP BY id),
+t AS (SELECT s.* FROM s WHERE id IN (SELECT id FROM m WHERE split = 'train')), v AS (SELECT s.*, split FROM s JOIN m USING (id) WHERE split IN ('validation', 'test')),
+tw AS (SELECT id, len(words) AS n, unnest(words) AS word FROM t), vw AS (SELECT id, split, len(words) AS n, unnest(words) AS word FROM v),
+alike AS (SELECT v_id, split, t_id FROM (SELECT vw.id AS v_id, vw.split AS split, tw.id AS t_id, vw.n AS na, tw.n AS nb, count(*) AS c FROM vw JOIN tw USING (word) GROUP BY ALL) WHERE c >= 0.8 * (na + nb - c) - 1e-9)"""
     root = "regexp_replace(id, '([-_](noise|var|aug)[0-9]+)+$', '', 'i')"
     return {
         "p1_found": f"""
@@ -174,6 +183,11 @@ parted AS (SELECT g FROM m JOIN s USING (id) GROUP BY g HAVING count(DISTINCT sp
 lead AS (SELECT g, min(id) AS group_id FROM m GROUP BY g)
 SELECT lead.group_id, m.id FROM m JOIN lead USING (g) JOIN parted USING (g)""",
         "p5_found": _likeness_sql(f"SELECT id, min({_WORDS.format("coalesce(question, '') || ' ' || coalesce(answer, '')")}) AS words FROM examples WHERE id IS NOT NULL GROUP BY id", ""),
+        "p5_links": f"WITH {classes} SELECT x AS id_a, y AS id_b, round(likeness, 6) AS likeness FROM l",
+        "p5_groups": f"""WITH RECURSIVE {classes}, e AS (SELECT x, y FROM l UNION SELECT y, x FROM l), r AS (SELECT rep AS x, rep AS y FROM k UNION SELECT r.x, e.y FROM r JOIN e ON e.x = r.y), g AS (SELECT x, min(y) AS group_id FROM r GROUP BY x), n AS (SELECT x, count(*) AS n_links FROM e GROUP BY x)
+SELECT s.id, CASE WHEN len(s.words) = 0 THEN s.id ELSE k.rep END AS class_id, CASE WHEN len(s.words) = 0 THEN s.id ELSE g.group_id END AS group_id, CASE WHEN len(s.words) = 0 THEN 1 ELSE k.m END AS class_rows, coalesce(n.n_links, 0) AS n_links FROM s JOIN k USING (words) JOIN g ON g.x = k.rep LEFT JOIN n ON n.x = k.rep""",
+        "p6_records": f"WITH {sides} SELECT v_id AS id, alike.split, min(t_id) AS train_id, (SELECT count(*) FROM t WHERE t.record <> '' AND t.record = any_value(v.record)) AS n_equal, count(*) AS n_alike FROM alike JOIN v ON v.id = v_id AND v.split = alike.split GROUP BY v_id, alike.split",
+        "p6_report": f"""WITH {sides} SELECT split, project, count(*) AS n, count(*) FILTER (record <> '' AND record IN (SELECT record FROM t)) AS n_equal, count(*) FILTER ((record <> '' AND record IN (SELECT record FROM t)) OR (id, split) IN (SELECT (v_id, split) FROM alike)) AS n_overlap FROM v GROUP BY split, project""",
         "p6_found": _likeness_sql(
             f"SELECT id, min({_WORDS.format("coalesce(question, '')")}) AS words FROM examples WHERE id IN (SELECT id FROM split_members) GROUP BY id",
             f"AND EXISTS (SELECT 1 FROM split_members x, split_members y WHERE x.id = id_a AND y.id = id_b AND (({_KEY.format('x.split')} = 'train' AND {_KEY.format('y.split')} IN ('validation', 'test')) OR ({_KEY.format('y.split')} = 'train' AND {_KEY.format('x.split')} IN ('validation', 'test'))))",
