@@ -70,24 +70,25 @@ def split_text(text: str, max_chars: int, overlap: int) -> list[tuple[int, int]]
     local[np.isinf(local)] = ANYWHERE * 4  # nothing but combined characters there
     pieces = -(-(n - overlap) // (max_chars - overlap))
     even = (n + (pieces - 1) * overlap) / pieces
-    best, came = np.full(len(at), np.inf), np.full(len(at), -1)
-    low = 0
-    for j, end in enumerate(at):
-        if end <= max_chars:
-            best[j] = IMBALANCE * ((end - even) / even) ** 2
-        while at[low] - overlap < end - max_chars:
+    # a piece from the candidate i to the end e costs IMBALANCE * (e / even - u[i]) ** 2; its terms in u alone are added once
+    u = (at - overlap) / even + 1
+    upto, came = np.full(len(at), np.inf), [-1] * len(at)
+    low, start = 0, (at - overlap).tolist()
+    for j, (end, own) in enumerate(zip(at.tolist(), (local + PIECE).tolist(), strict=True)):
+        e = end / even
+        best = IMBALANCE * (e - 1) ** 2 if end <= max_chars else np.inf
+        while start[low] < end - max_chars:
             low += 1
         if low < j:
-            total = best[low:j] + IMBALANCE * ((end - at[low:j] + overlap - even) / even) ** 2
-            k = int(total.argmin())
-            if total[k] < best[j]:
-                best[j], came[j] = total[k], low + k
-        best[j] += local[j] + PIECE
+            total = upto[low:j] - (2 * IMBALANCE * e) * u[low:j]
+            k = total.argmin()
+            if (found := total[k] + IMBALANCE * e * e) < best:
+                best, came[j] = found, low + int(k)
+        upto[j] = best + own + IMBALANCE * u[j] ** 2
     spans, j = [], len(at) - 1
     while j >= 0:
-        start = 0 if came[j] < 0 else int(at[came[j]]) - overlap
-        spans.append((start, int(at[j])))
-        j = int(came[j])
+        spans.append((0 if came[j] < 0 else start[came[j]], int(at[j])))
+        j = came[j]
     return spans[::-1]
 
 
