@@ -1,5 +1,6 @@
 """Similarity joins against brute force, with hot groups, blocks, nulls, repeats and clashing columns."""
 
+import math
 import random
 import re
 from collections import Counter
@@ -7,6 +8,7 @@ from collections import Counter
 import pyarrow as pa
 import pytest
 
+from millrace.llm import overlap_join
 from millrace.llm.common import expand_members
 from millrace.llm.near_duplicates import near_duplicate_groups, near_duplicate_links, near_duplicate_pairs
 from millrace.llm.overlap_join import merge_skip, merged, similar_classes
@@ -95,6 +97,60 @@ def test_sets_that_span_batches_are_merged_once():
         assert sorted(out) == sorted((*p, n) for p, n in counts.items() if n >= 2)
 
 
+def records_shuffled(spark, job):
+    spark.sparkContext.setJobGroup(name := f"shuffled-{random.random()}", name)
+    try:
+        out = job()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    tracker, store = spark.sparkContext.statusTracker(), spark.sparkContext._jsc.sc().statusStore()
+    stages = {k for j in tracker.getJobIdsForGroup(name) for k in tracker.getJobInfo(j).stageIds}
+    return out, sum(store.lastStageAttempt(k).shuffleWriteRecords() for k in stages)
+
+
+def test_lists_of_frequent_words_grow_as_the_sets(spark):
+    # 4 words of a set's own, 16 of 40 that are on two fifths of all sets; every tenth set has a copy with a word more
+    rng, shuffled = random.Random(11), {}
+    for n in (400, 1600):
+        rows = [(k, sorted([10**6 + 4 * k + j for j in range(4)] + rng.sample(range(40), 16)), 3) for k in range(n)]
+        rows += [(n + c, [*tokens, 10**7 + c], 3) for c, tokens, _ in rows[::10]]
+        sets = spark.createDataFrame(rows, "c long, tokens array<long>, side int")
+        found, shuffled[n] = records_shuffled(spark, lambda: similar_classes(sets, 0.8, block=20).collect())  # noqa: B023
+        assert sorted(tuple(sorted((r.c1, r.c2))) for r in found) == [(k, n + k) for k in range(0, n, 10)]
+    assert shuffled[1600] < 6 * shuffled[400]
+
+
+@pytest.mark.parametrize("meet", [1, 3])
+def test_parts_of_long_lists_give_the_same_pairs(spark, meet):
+    rng = random.Random(12)
+    data = {}
+    for k in range(120):
+        words = rng.sample(range(60), rng.randint(2, 45))
+        data |= {2 * k: set(words), 2 * k + 1: set(words) ^ set(rng.sample(range(60), rng.randint(1, 4)))}
+    sets = spark.createDataFrame([(c, sorted(w), rng.choice([1, 2, 3])) for c, w in data.items() if len(w) > 1], "c long, tokens array<long>, side int").cache()
+    side = {r.c: r.side for r in sets.collect()}
+    for sides in (False, True):
+        wanted = {(a, b) for a in side for b in side if a < b and len(data[a] & data[b]) >= 0.8 * len(data[a] | data[b]) - 1e-9 and (not sides or side[a] & 1 and side[b] & 2 or side[a] & 2 and side[b] & 1)}
+        found = [tuple(sorted((r.c1, r.c2))) for r in similar_classes(sets, 0.8, sides=sides, block=4, meet=meet).collect()]
+        assert len(found) == len(set(found)) and set(found) == wanted
+
+
+def test_lists_that_span_batches_meet_once(monkeypatch):
+    rng = random.Random(13)
+    rows = sorted((key, c, rng.randint(8, 12), rng.randint(0, 2), True) for key in range(5) for c in rng.sample(range(100), rng.randint(1, 40)))
+    column = lambda x: [r[x] for r in rows]
+    fixed = dict.fromkeys(("side", "spread"), [3] * len(rows)) | dict.fromkeys(("s0", "s1"), [0] * len(rows)) | {"k": [1] * len(rows), "upto": [12] * len(rows)}
+    whole = pa.RecordBatch.from_pydict({"key": column(0), "c": column(1), "n": column(2), "place": column(3), "home": column(4)} | fixed)
+    need = lambda a, b: math.ceil(0.8 / 1.8 * (a + b) - 1e-9)
+    wanted = sorted((x[1], y[1], x[3]) for x in rows for y in rows if x[0] == y[0] and (x[2], x[1]) < (y[2], y[1]) and x[2] >= 0.8 * y[2] - 1e-9 and min(x[2] - x[3], y[2] - y[3]) >= need(x[2], y[2]))
+    for held, at_once, size in ((10**6, 10**6, 10**6), (1, 5, 7), (30, 3, 1)):
+        monkeypatch.setattr(overlap_join, "HELD", held)
+        monkeypatch.setattr(overlap_join, "AT_ONCE", at_once)
+        out = [(r["c1"], r["c2"], r["place"]) for b in overlap_join.matched((whole.slice(a, size) for a in range(0, len(rows), size)), 0.8, False) for r in b.to_pylist()]
+        assert wanted and sorted(out) == wanted
+
+
 def test_large_groups_keep_all_pairs_and_have_representatives(spark):
     rows = [(f"a{k:03d}", "one two three four five", "x", 0, None, 0, None) for k in range(30)] + [("b", "one two three four five six", "x", 0, None, 0, None)]
     df = spark.createDataFrame(rows, SCHEMA)
